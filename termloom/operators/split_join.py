@@ -62,6 +62,8 @@ def join_split(
     copied = with_pieces(lookup).withColumn(
         "_piece", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_pieces") - 1))
     )
-    return (
-        dealt.drop("_pieces").join(copied.drop("_pieces"), [key, "_piece"]).drop("_piece")
-    )
+    # The lookup's share of a partition is no larger than that of the rows it is
+    # for, so it is hashed and the many rows need no sorting. Without the hint,
+    # a scan's size before its texts are split may get the rows broadcast.
+    table = copied.drop("_pieces").hint("shuffle_hash")
+    return dealt.drop("_pieces").join(table, [key, "_piece"]).drop("_piece")

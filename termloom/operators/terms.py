@@ -11,7 +11,7 @@ from termloom.operators.split_join import SPLIT_ROWS, join_split
 
 def _row_words(corpus: Corpus, mode: str) -> DataFrame:
     found = words(F.col("text"), mode, corpus.rows_are_lines)
-    return corpus.rows.select("document", found.alias("words"))
+    return corpus.texts.select("document", found.alias("words"))
 
 
 def _row_size() -> Column:
@@ -40,7 +40,7 @@ def num_docs(corpus: Corpus) -> DataFrame:
     """One row: the documents of the corpus, those without words included."""
     if corpus.one_row_per_document:
         return corpus.rows.agg(F.count("*").alias("num_docs"))
-    return corpus.rows.agg(F.count_distinct("document").alias("num_docs"))
+    return corpus.texts.agg(F.count_distinct("document").alias("num_docs"))
 
 
 def tokens(corpus: Corpus, mode: str = "whitespace") -> DataFrame:

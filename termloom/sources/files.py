@@ -24,13 +24,11 @@ def _empty_files(spark: SparkSession, paths: str | list[str], **options) -> Data
     """
     files = spark.read.format("binaryFile").options(**options).load(paths)
     listed = spark.createDataFrame([(f,) for f in files.inputFiles()], "path string")
-    with_content = files.select("path")
-
-    def decoded(paths: DataFrame) -> DataFrame:
-        name = F.regexp_replace("path", "^[a-zA-Z][a-zA-Z0-9+.-]*:/*", "/")
-        return paths.select(_file_name(name).alias("path"))
-
-    missing = decoded(listed).join(decoded(with_content), "path", "left_anti")
+    # The index percent-encodes paths, the column ``path`` does not.
+    below_root = F.regexp_replace("path", "^[a-zA-Z][a-zA-Z0-9+.-]*:/*", "/")
+    missing = listed.select(_file_name(below_root).alias("path")).join(
+        files.select(below_root.alias("path")), "path", "left_anti"
+    )
     return missing.select(F.element_at(F.split("path", "/"), -1).alias("document"))
 
 

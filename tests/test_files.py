@@ -1,0 +1,131 @@
+import os
+
+import pytest
+
+from termloom import operators, plans
+from termloom.functions import render
+from termloom.session import durable, scratch_path
+from termloom.sinks import store, write_report
+from termloom.sources import table_corpus, text_files, text_lines
+from tests.samples import SAMPLE, SAMPLE_WEIGHTS, corpus, weights
+
+
+@pytest.fixture
+def folder(tmp_path):
+    files = {
+        "doc1": "Lorem ipsum\n",
+        "sp ace": "one\n\ntwo two\n",
+        "a+b%20 c@d": "ipsum",
+        "empty": "",
+        "blank": "   \n",
+        ".hidden": "never",
+        "_under": "never",
+    }
+    for name, text in files.items():
+        (tmp_path / name).write_text(text)
+    (tmp_path / "below").mkdir()
+    (tmp_path / "below" / "deeper").write_text("never")
+    return str(tmp_path)
+
+
+DOCUMENTS = ["a+b%20 c@d", "blank", "doc1", "empty", "sp ace"]
+
+
+def test_whole_files(spark, folder):
+    c = text_files(spark, folder)
+    assert c.one_row_per_document and not c.rows_are_lines
+    rows = {r.document: r.text for r in c.rows.collect()}
+    assert sorted(rows) == DOCUMENTS
+    assert rows["doc1"] == "Lorem ipsum\n"
+    assert rows["empty"] == ""
+    assert operators.num_docs(c).first().num_docs == 5
+
+
+def test_lines_of_files(spark, folder):
+    c = text_lines(spark, folder)
+    rows = sorted((r.document, r.text or "", r.text is None) for r in c.rows.collect())
+    assert rows == [
+        ("a+b%20 c@d", "ipsum", False),
+        ("blank", "   ", False),
+        ("doc1", "Lorem ipsum", False),
+        ("empty", "", True),
+        ("sp ace", "", False),
+        ("sp ace", "one", False),
+        ("sp ace", "two two", False),
+    ]
+    assert operators.num_docs(c).first().num_docs == 5
+
+
+def test_both_forms_weigh_alike(spark, folder):
+    whole = weights(plans.tfidf(text_files(spark, folder)))
+    assert whole == weights(plans.tfidf(text_lines(spark, folder)))
+    assert whole["doc1@ipsum"] == (1, 2, 2, 0.4581453659)
+
+
+def test_modes_on_files(spark, folder):
+    def sizes(c, mode):
+        return {r.document: r.doc_size for r in operators.doc_sizes(c, mode).collect()}
+
+    expected = {"a+b%20 c@d": 1, "blank": 0, "doc1": 2, "empty": 0, "sp ace": 4}
+    assert sizes(text_files(spark, folder), "single_space") == expected
+    assert sizes(text_lines(spark, folder), "single_space") == expected
+    # An empty file read whole has one empty word in this mode.
+    java = {"a+b%20 c@d": 1, "blank": 0, "doc1": 2, "empty": 1, "sp ace": 3}
+    assert sizes(text_files(spark, folder), "java_ws") == java
+
+
+def test_same_name_in_two_folders_is_one_document(spark, tmp_path):
+    for name, text in (("x", "a b"), ("y", "a")):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "doc").write_text(text)
+    c = text_files(spark, [str(tmp_path / "x"), str(tmp_path / "y")])
+    assert weights(plans.tfidf(c)) == {"doc@a": (2, 3, 1, 0), "doc@b": (1, 3, 1, 0)}
+    assert operators.num_docs(c).first().num_docs == 1
+    by_pattern = text_files(spark, str(tmp_path / "*"))
+    assert weights(plans.tfidf(by_pattern)) == weights(plans.tfidf(c))
+
+
+def test_folder_of_empty_files(spark, tmp_path):
+    (tmp_path / "a").write_text("")
+    c = text_files(spark, str(tmp_path))
+    assert operators.num_docs(c).first().num_docs == 1
+    assert plans.tfidf(c).count() == 0
+
+
+def test_sample_from_folder_to_report(spark, tmp_path):
+    source, target = tmp_path / "in", tmp_path / "out"
+    source.mkdir()
+    for name, text in SAMPLE.items():
+        (source / name).write_text(text)
+    for _ in range(2):  # the second run replaces the first
+        report = plans.tfidf_report(plans.tfidf(text_files(spark, str(source))), render.fixed)
+        write_report(report, str(target))
+    parts = sorted(n for n in os.listdir(target) if n.startswith("part-"))
+    lines = [line for p in parts for line in (target / p).read_text().splitlines()]
+    keys, values = zip(*(line.split("\t") for line in lines))
+    assert list(keys) == [w[0] for w in SAMPLE_WEIGHTS]
+    assert [float(v) for v in values] == pytest.approx([w[4] for w in SAMPLE_WEIGHTS], abs=1e-15)
+
+
+def test_table_reads_two_columns_only(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = [(i, f"w{i} x", "unused") for i in range(50)]
+    spark.createDataFrame(rows, "id long, body string, other string").write.parquet(path)
+    c = table_corpus(spark, path, "id", "body", one_row_per_document=True)
+    assert dict(c.rows.dtypes) == {"document": "string", "text": "string"}
+    assert operators.num_docs(c).first().num_docs == 50
+    plan = plans.tfidf(c)._jdf.queryExecution().toString()
+    assert "unused" not in plan and "other" not in plan.split("Physical Plan")[1]
+
+
+def test_store_and_durable(spark, tmp_path):
+    tf = plans.tf(corpus(spark, SAMPLE))
+    path = str(tmp_path / "tf")
+    store(tf, path)
+    again = store(tf, path)
+    assert sorted(again.collect()) == sorted(tf.collect())
+    kept = durable(tf)
+    assert sorted(kept.collect()) == sorted(tf.collect())
+    assert "Scan ExistingRDD" in kept._jdf.queryExecution().toString()
+    assert scratch_path(spark, "x") != scratch_path(spark, "x")
+    assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))

@@ -1,0 +1,102 @@
+"""What the plans must look like to hold at scale."""
+
+import re
+
+import pytest
+
+import __spark_entry__ as entries
+from termloom import operators, plans
+from termloom.operators import terms
+
+SF = "/root/testdata/sf0.001"
+
+
+def initial_plan(frame) -> str:
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def final_plan(frame) -> str:
+    """The plan as executed, without the initial plans that it quotes."""
+    execution = frame._jdf.queryExecution()
+    execution.toRdd().count()
+    kept, skipping = [], None
+    for line in execution.executedPlan().toString().splitlines():
+        depth = len(line) - len(line.lstrip(" :|"))
+        if skipping is not None and depth > skipping:
+            continue
+        skipping = depth if "== Initial Plan ==" in line else None
+        if skipping is None:
+            kept.append(line)
+    return "\n".join(kept)
+
+
+def shuffles_by_key(plan: str) -> list[str]:
+    return re.findall(r"(?<!ReusedExchange )Exchange (hashpartitioning\([^)]*\))", plan)
+
+
+def text_scans(plan: str) -> int:
+    return len(re.findall(r"FileScan [^\n]*ReadSchema: struct<[^>]*\btext:", plan))
+
+
+@pytest.mark.parametrize("name", sorted(entries.queries()))
+def test_no_query_runs_python_or_pairs_rows(spark, name):
+    if name in ("report_lines", "tf_stored", "text_files_word_totals", "text_lines_word_totals"):
+        pytest.skip("runs jobs when built")
+    plan = initial_plan(entries.queries()[name](spark, SF))
+    for operator in ("Python", "Arrow", "CartesianProduct", "BroadcastNestedLoopJoin", "Window"):
+        assert operator not in plan
+    assert "Scan ExistingRDD" not in plan or name == "tfidf_broadcast"
+
+
+@pytest.mark.parametrize(
+    "query", [operators.tokens, operators.word_counts, operators.doc_sizes, operators.forward_index,
+              terms.term_counts, plans.tf]
+)
+def test_counting_one_row_documents_needs_no_shuffle_by_key(spark, query):
+    plan = initial_plan(query(entries.documents(spark, SF)))
+    assert shuffles_by_key(plan) == []
+    assert "ReadSchema: struct<doc_id:bigint,text:string>" in plan
+
+
+def test_vocabulary_reads_only_the_text(spark):
+    plan = initial_plan(operators.doc_freqs(entries.documents(spark, SF)))
+    assert "ReadSchema: struct<text:string>" in plan
+    assert len(shuffles_by_key(plan)) == 1
+    assert "partial_count" in plan
+
+
+@pytest.mark.parametrize("split_rows", [20, 1_000_000])
+def test_weights_split_each_text_twice(spark, split_rows):
+    """Once for the totals and once for the pairs, whose one shuffle is the join's."""
+    plan = final_plan(plans.tfidf(entries.documents(spark, SF), split_rows=split_rows))
+    assert text_scans(plan) == 2
+    assert plan.count("string_split") + len(re.findall(r"split\(coalesce\(text", plan)) == 2
+    assert "ShuffledHashJoin" in plan and "BuildLeft" not in plan
+    assert "ReusedExchange" in plan
+    assert "SortMergeJoin" not in plan
+
+
+def test_merged_documents_share_one_aggregation(spark):
+    plan = final_plan(plans.tfidf(entries.conversations(spark, SF), split_rows=20))
+    by_pair = [s for s in shuffles_by_key(plan) if re.search(r"document#\d+, word#\d+", s)]
+    assert len(by_pair) == 1
+    assert text_scans(plan) == 1  # read once: the shuffle that spreads it is reused
+
+
+def test_small_vocabulary_is_broadcast_without_a_shuffle_of_pairs(spark):
+    c = entries.documents(spark, SF)
+    plan = initial_plan(plans.tfidf_broadcast(c))
+    assert "BroadcastHashJoin" in plan
+    assert shuffles_by_key(plan) == []
+    assert "BroadcastHashJoin" not in re.sub(
+        r"_hash#\d+L\], \[_hash#\d+L\]", "", ""
+    ) + "".join(
+        line
+        for line in initial_plan(plans.tfidf_broadcast(c, max_bytes=10)).splitlines()
+        if "BroadcastHashJoin" in line and "_hash" not in line
+    )
+
+
+def test_reports_are_sorted_by_ranges(spark):
+    plan = initial_plan(plans.tfidf_report(plans.tfidf(entries.documents(spark, SF))))
+    assert "Exchange rangepartitioning(key" in plan
