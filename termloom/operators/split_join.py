@@ -21,12 +21,13 @@ def join_split(
     """``rows`` joined with ``lookup`` on ``key``, no key being one task's work.
 
     ``lookup`` has one row per key; its column ``weight`` is (at least) the
-    number of rows with that key. A key is heavy when it has more than
-    ``total / MAX_SPLIT_KEYS`` rows, so there can be no more than
-    ``MAX_SPLIT_KEYS`` heavy keys. The rows of a heavy key are dealt over as
-    many pieces as it takes to bring each one down to that size, by a hash of
-    ``spread``, and its lookup row is copied to every piece. Copies add at most
-    ``2 * MAX_SPLIT_KEYS`` rows. Rows of other keys are in piece 0.
+    number of rows with that key. Keys with more than ``split_rows`` rows are
+    candidates for splitting. A candidate is heavy when it has more than a
+    ``1 / MAX_SPLIT_KEYS`` share of all the candidates' rows, so there can be no
+    more than ``MAX_SPLIT_KEYS`` heavy keys. The rows of a heavy key are dealt
+    over as many pieces as it takes to bring each one down to that share, by a
+    hash of ``spread``, and its lookup row is copied to every piece. Copies add
+    at most ``2 * MAX_SPLIT_KEYS`` rows. Rows of other keys are in piece 0.
 
     Keys are recognised as heavy by their hash, so that long keys cost nothing
     in the broadcast table. A light key that shares a heavy one's hash is split
@@ -35,17 +36,17 @@ def join_split(
     The pieces follow from the data alone, so a recomputed task makes the same
     ones.
     """
-    share = lookup.agg(
-        F.greatest(F.sum(weight) / MAX_SPLIT_KEYS, F.lit(float(split_rows)))
-    ).scalar()
-    heavy = (
-        lookup.select(
-            F.xxhash64(key).alias("_hash"), F.ceil(F.col(weight) / share).alias("_pieces")
-        )
-        .where(F.col("_pieces") > 1)
-        .groupBy("_hash")
-        .agg(F.max("_pieces").alias("_pieces"))
+    candidates = (
+        lookup.where(F.col(weight) > split_rows)
+        .groupBy(F.xxhash64(key).alias("_hash"))
+        .agg(F.sum(weight).alias("_weight"))
     )
+    share = candidates.agg(
+        F.greatest(F.sum("_weight") / MAX_SPLIT_KEYS, F.lit(float(split_rows)))
+    ).scalar()
+    heavy = candidates.select(
+        "_hash", F.ceil(F.col("_weight") / share).alias("_pieces")
+    ).where(F.col("_pieces") > 1)
     one = F.lit(1).cast("bigint")
 
     def with_pieces(side: DataFrame) -> DataFrame:

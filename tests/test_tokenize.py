@@ -1,3 +1,7 @@
+import random
+import re
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -66,3 +70,41 @@ def test_word_runs(spark):
         4: [("A", 1), ("a", 2)],
         5: [("z", 1), ("é", 3)],
     }
+
+
+def _split(text, run):
+    """As Java splits: no empty words at the end, but one for an empty text."""
+    if text == "":
+        return [""]
+    parts = re.split(run, text)
+    while parts and parts[-1] == "":
+        parts.pop()
+    return parts
+
+
+def _expected(text, mode):
+    if mode == "whitespace":
+        return [w for w in re.split(r"[ \t\n\x0b\f\r]+", text) if w]
+    if mode == "java_ws":
+        control = "".join(map(chr, range(33)))
+        return [w.strip(control) for w in _split(text, r"[ \t\n\x0b\f\r]+")]
+    ends = re.split(r"\r\n|\n|\r", text)
+    if ends[-1] == "":
+        ends.pop()
+    return [w for line in ends for w in _split(line, " ")]
+
+
+@pytest.mark.parametrize("mode", MODES)
+def test_random_texts(spark, mode):
+    rng = random.Random(7)
+    alphabet = "ab,@=é\U0001f600      \t\n\n\r\x0b\f\x01\x1f\x7f\u0085\u00a0\u2028"
+    texts = ["".join(rng.choices(alphabet, k=rng.randrange(15))) for _ in range(2000)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    found = frame.select("id", words(F.col("text"), mode).alias("w")).select(
+        "id", "w", word_runs(F.col("w")).alias("runs")
+    )
+    for r in found.collect():
+        expected = _expected(texts[r.id], mode)
+        assert r.w == expected, repr(texts[r.id])
+        assert {e.word: e.word_count for e in r.runs} == Counter(expected)
+        assert len(r.runs) == len(set(expected))
