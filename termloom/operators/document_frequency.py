@@ -38,17 +38,23 @@ def doc_freqs(corpus: Corpus, mode: str = "whitespace") -> DataFrame:
 
 
 def with_doc_freqs(
-    corpus: Corpus, mode: str = "whitespace", split_rows: int = SPLIT_ROWS
+    corpus: Corpus,
+    mode: str = "whitespace",
+    split_rows: int = SPLIT_ROWS,
+    frequencies: DataFrame | None = None,
 ) -> DataFrame:
     """``document, word, word_count, doc_size, df``: each pair with its word's total.
 
+    ``frequencies`` is the corpus's :func:`doc_freqs` where it is stored already;
+    the texts are then read once.
+
     A window over the word would read the corpus once instead of twice, but
     would put all documents of a common word into one task. Here the totals
     come from a pre-aggregated pass, and the join splits common words.
     """
     return join_split(
         term_counts(corpus, mode, split_rows),
-        doc_freqs(corpus, mode),
+        doc_freqs(corpus, mode) if frequencies is None else frequencies,
         key="word",
         weight="df",
         spread="document",

@@ -52,10 +52,17 @@ def _weigh(pairs: DataFrame, corpus: Corpus) -> DataFrame:
     )
 
 
-def tfidf(corpus: Corpus, mode: str = "whitespace", split_rows: int = SPLIT_ROWS) -> DataFrame:
+def tfidf(
+    corpus: Corpus,
+    mode: str = "whitespace",
+    split_rows: int = SPLIT_ROWS,
+    frequencies: DataFrame | None = None,
+) -> DataFrame:
     """The weight of every word in every document:
-    ``document, word, word_count, doc_size, num_docs, df, tf, idf, tfidf``."""
-    return _weigh(with_doc_freqs(corpus, mode, split_rows), corpus)
+    ``document, word, word_count, doc_size, num_docs, df, tf, idf, tfidf``.
+
+    ``frequencies`` may give the corpus's document frequencies, if stored."""
+    return _weigh(with_doc_freqs(corpus, mode, split_rows, frequencies), corpus)
 
 
 def tfidf_broadcast(
@@ -76,7 +83,7 @@ def tfidf_broadcast(
         F.count("*"), F.coalesce(F.sum(F.octet_length("word")), F.lit(0))
     ).first()
     if words > max_words or size > max_bytes:
-        return tfidf(corpus, mode)
+        return tfidf(corpus, mode, frequencies=frequencies)
     return _weigh(term_counts(corpus, mode).join(F.broadcast(frequencies), "word"), corpus)
 
 

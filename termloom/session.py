@@ -7,13 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
-# Runtime re-planning, and hash instead of sort-merge joins where every
-# partition of the smaller side was measured to be small.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "128MB",
     "spark.sql.session.timeZone": "UTC",
 }
 

@@ -6,6 +6,7 @@ import pytest
 
 from termloom import operators, plans
 from termloom.functions import render
+from termloom.sinks import store
 from tests.samples import SAMPLE, SAMPLE_WEIGHTS, corpus, weights
 
 FORMS = {
@@ -45,6 +46,14 @@ def test_union_form(spark):
     assert found == pytest.approx({k: v for k, _, _, _, v in SAMPLE_WEIGHTS}, abs=1e-15)
 
 
+def test_stored_frequencies(spark, tmp_path):
+    c = corpus(spark, SAMPLE)
+    kept = store(operators.doc_freqs(c), str(tmp_path / "df"))
+    expected = weights(plans.tfidf(c))
+    assert weights(plans.tfidf(c, frequencies=kept)) == expected
+    assert weights(plans.tfidf(c, split_rows=1, frequencies=kept)) == expected
+
+
 def test_sample_stages(spark):
     c = corpus(spark, SAMPLE)
     assert operators.vocabulary(c).count() == 14
