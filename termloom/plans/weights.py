@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from termloom.corpus import Corpus
 from termloom.functions import weights
 from termloom.operators.document_frequency import doc_freqs, with_doc_freqs
-from termloom.operators.indexes import expand_postings, postings
 from termloom.operators.split_join import SPLIT_ROWS
 from termloom.operators.terms import num_docs, term_counts
 from termloom.session import durable
@@ -92,14 +91,15 @@ def tfidf_union(
 ) -> DataFrame:
     """``document, word, tfidf`` from two relations laid over each other.
 
-    One has the tf of each pair, the other its idf, expanded from the inverted
-    index. Their union is grouped by pair, which brings exactly one of each
-    together.
+    One has the tf of each pair, the other its idf. Their union is grouped by
+    pair, which brings exactly one of each together.
     """
-    index = expand_postings(postings(corpus, mode, split_rows=split_rows), corpus)
+    totals = with_doc_freqs(corpus, mode, split_rows).select(
+        "document", "word", num_docs(corpus).scalar().alias("num_docs"), "df"
+    )
     unknown = F.lit(None).cast("double")
     with_tf = tf(corpus, mode, split_rows).select("document", "word", "tf", unknown.alias("idf"))
-    with_idf = index.select(
+    with_idf = totals.select(
         "document",
         "word",
         unknown.alias("tf"),
