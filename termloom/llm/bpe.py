@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from termloom.llm import automaton
-from termloom.llm.common import map_texts
+from termloom.llm.common import map_texts, schema_of
 
 VOCABULARY = "word_bpe_49k.json"
 # The file's own pattern with its disjoint alternatives in order of frequency.
@@ -117,7 +117,7 @@ def encode(docs: DataFrame, columns: list[str], path: str | None = None, text: s
         values = np.frombuffer(b"".join(ids), dtype="<u4").astype(np.int32)
         return {"ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))}
 
-    return map_texts(docs, columns, _schema(docs, columns, "ids array<int>"), work, text)
+    return map_texts(docs, columns, {"ids": "array<int>"}, work, text)
 
 
 def decode(docs: DataFrame, columns: list[str], path: str | None = None, ids: str = "ids") -> DataFrame:
@@ -130,7 +130,7 @@ def decode(docs: DataFrame, columns: list[str], path: str | None = None, ids: st
             texts = [codec.decode(np.array(i or [], dtype="<u4").tobytes()) for i in batch.column(len(columns)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], names=[*columns, "decoded"])
 
-    return docs.select(*columns, ids).mapInArrow(run, _schema(docs, columns, "decoded string"))
+    return docs.select(*columns, ids).mapInArrow(run, schema_of(docs, columns, {"decoded": "string"}))
 
 
 def round_trip(docs: DataFrame, columns: list[str], path: str | None = None, text: str = "text") -> DataFrame:
@@ -147,10 +147,6 @@ def round_trip(docs: DataFrame, columns: list[str], path: str | None = None, tex
             made["decoded_sha256"].append(hashlib.sha256(codec.decode(ids).encode()).hexdigest())
         return made
 
-    more = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-    return map_texts(docs, columns, _schema(docs, columns, more), work, text)
+    more = {"n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"}
+    return map_texts(docs, columns, more, work, text)
 
-
-def _schema(docs: DataFrame, columns: list[str], more: str) -> str:
-    kinds = dict(docs.dtypes)
-    return ", ".join([*(f"{c} {kinds[c]}" for c in columns), more])

@@ -44,20 +44,25 @@ def slices(texts: list[str | None]) -> Iterator[slice]:
         yield slice(start, len(texts))
 
 
+def schema_of(docs: DataFrame, columns: list[str], more: dict[str, str]) -> str:
+    kinds = dict(docs.dtypes)
+    return ", ".join([*(f"`{c}` {kinds[c]}" for c in columns), *(f"`{n}` {kind}" for n, kind in more.items())])
+
+
 def map_texts(
     docs: DataFrame,
     columns: list[str],
-    schema: str,
+    more: dict[str, str],
     work: Callable[[list[str]], dict[str, list]],
     text: str = "text",
 ) -> DataFrame:
     """Apply `work` to the texts; its columns follow `columns` of the same row.
 
-    `schema` is of all returned columns, those of `columns` first. A null text is
-    an empty one. Other columns of the input never reach Python.
+    `more` has the types of those columns. A null text is an empty one. Other columns
+    of the input never reach Python.
     """
     sent = docs.select(*(F.col(c) for c in columns), F.coalesce(F.col(text), F.lit("")).alias("__text"))
-    names = [field.strip().split(" ")[0] for field in schema.split(",")][len(columns):]
+    names = list(more)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -68,4 +73,4 @@ def map_texts(
                 arrays = kept + [made[n] if isinstance(made[n], pa.Array) else pa.array(made[n]) for n in names]
                 yield pa.RecordBatch.from_arrays(arrays, names=columns + names)
 
-    return sent.mapInArrow(run, schema)
+    return sent.mapInArrow(run, schema_of(docs, columns, more))

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termloom.llm.common import map_texts, stored
+from termloom.llm.common import map_texts, schema_of, stored
 
 FEATURES = 192
 FOLDS = 3
@@ -200,16 +200,12 @@ def score(stats: DataFrame, model: Model) -> DataFrame:
             values = pa.array(np.concatenate(made) if made else np.zeros(0))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], values], names=[*names, "score"])
 
-    kinds = dict(stats.dtypes)
-    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in names), "score double"])
-    return stats.select(*names, "stats").mapInArrow(run, schema)
+    return stats.select(*names, "stats").mapInArrow(run, schema_of(stats, names, {"score": "double"}))
 
 
 def document_statistics(docs: DataFrame, columns: list[str]) -> DataFrame:
-    kinds = dict(docs.dtypes)
-    schema = ", ".join([*(f"{c} {kinds[c]}" for c in columns), "stats array<double>"])
     width = pa.list_(pa.float64())
-    return map_texts(docs, columns, schema, lambda texts: {"stats": pa.array([statistics(t) for t in texts], width)})
+    return map_texts(docs, columns, {"stats": "array<double>"}, lambda texts: {"stats": pa.array([statistics(t) for t in texts], width)})
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:

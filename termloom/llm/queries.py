@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm import bpe, quality, token_counts, toxicity
+from termloom.llm import bpe, decontamination, pii, quality, secrets, token_counts, toxicity
 from termloom.llm.common import documents
 
 
@@ -30,11 +30,36 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(quality.quality_scores(documents(spark, sf_dir), labels), remainder(3) == 1)
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(documents(spark, sf_dir), ["doc_id"])
+    return found.select(
+        "doc_id",
+        *(secrets.counted(F.col("known"), kind).alias(f"n_{kind}") for kind in pii.KINDS),
+        F.sha2(pii.written(F.col("known")), 256).alias("base_sha256"),
+        pii.written(F.col("found")).alias("spans"),
+    )
+
+
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(documents(spark, sf_dir).select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        *(secrets.counted(F.col("known"), kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")),
+        F.sha2(secrets.written(F.col("known")), 256).alias("base_sha256"),
+        secrets.written(F.col("found")).alias("spans"),
+    )
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = _labels(spark, sf_dir, "toxic").where(remainder(5) != 0)
     return _scored(toxicity.toxicity_scores(documents(spark, sf_dir), labels), remainder(5) == 0)
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontamination.contamination(documents(spark, sf_dir), benchmark)
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir), ["doc_id"])
 
@@ -47,7 +72,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality,
+        op2_pii,
+        op4_secrets,
         op5_toxicity,
+        op6_decontamination,
         op9_bpe,
         op10_token_counts,
     )

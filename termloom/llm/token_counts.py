@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from termloom.llm import automaton
-from termloom.llm.bpe import WordPattern, _schema, _shared
+from termloom.llm.bpe import WordPattern, _shared
 from termloom.llm.common import map_texts
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -171,7 +171,7 @@ def token_counts(
             "over_limit": [n > limit for n in counts],
         }
 
-    more = "n_bytes bigint, n_tokens bigint, over_limit boolean"
-    return map_texts(docs, columns, _schema(docs, columns, more), work, text)
+    more = {"n_bytes": "bigint", "n_tokens": "bigint", "over_limit": "boolean"}
+    return map_texts(docs, columns, more, work, text)
 
 

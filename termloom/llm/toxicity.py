@@ -151,6 +151,6 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_
     def work(texts: list[str]) -> dict:
         return {"score": [model.value.score(t) for t in texts]}
 
-    return map_texts(docs, ["doc_id"], f"doc_id {dict(docs.dtypes)['doc_id']}, score double", work)
+    return map_texts(docs, ["doc_id"], {"score": "double"}, work)
 
 
