@@ -133,20 +133,28 @@ def decode(docs: DataFrame, columns: list[str], path: str | None = None, ids: st
     return docs.select(*columns, ids).mapInArrow(run, schema_of(docs, columns, {"decoded": "string"}))
 
 
-def round_trip(docs: DataFrame, columns: list[str], path: str | None = None, text: str = "text") -> DataFrame:
-    """`columns`, and the digests of encoding and decoding, made in one pass."""
+def round_trip(
+    docs: DataFrame, columns: list[str], path: str | None = None, text: str = "text", keep_ids: bool = False
+) -> DataFrame:
+    """`columns`, the digests of encoding and decoding, and the ids if asked for, in one pass."""
     key, file = _shared(docs, path or public_tokenizers.path(VOCABULARY))
 
     def work(texts: list[str]) -> dict:
         codec = automaton.loaded(f"codec {key}", file.value, WordCodec)
-        made: dict[str, list] = {"n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
+        made: dict[str, list] = {"n_tokens": [], "ids_sha256": [], "decoded_sha256": [], "ids": []}
         for t in texts:
             ids = codec.encode(t)
+            if keep_ids:
+                made["ids"].append(np.frombuffer(ids, dtype="<u4").astype(np.int32))
             made["n_tokens"].append(len(ids) // 4)
             made["ids_sha256"].append(hashlib.sha256(ids).hexdigest())
             made["decoded_sha256"].append(hashlib.sha256(codec.decode(ids).encode()).hexdigest())
+        if keep_ids:
+            made["ids"] = pa.array(made["ids"], pa.list_(pa.int32()))
         return made
 
     more = {"n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"}
+    if keep_ids:
+        more["ids"] = "array<int>"
     return map_texts(docs, columns, more, work, text)
 

@@ -212,3 +212,15 @@ def quality_scores(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_R
     """doc_id and score of every row of `docs`, learnt from `labels` (doc_id, label)."""
     stats = stored(document_statistics(docs, ["doc_id"]), "quality-statistics")
     return score(stats, fit(stats, labels, train_rows))
+
+
+def accepted(docs: DataFrame, labels: DataFrame, least: float = 0.5, train_rows: int = TRAIN_ROWS) -> DataFrame:
+    """The rows of `docs`, all columns, that score `least` or more."""
+    stats = stored(document_statistics(docs, ["doc_id"]), "quality-statistics")
+    model = fit(stats, labels, train_rows)
+
+    def work(texts: list[str]) -> dict:
+        stats = np.array([statistics(t) for t in texts]).reshape(-1, STATISTICS)
+        return {"__score": model.calibrated(model.features(stats) @ model.weights)}
+
+    return map_texts(docs, docs.columns, {"__score": "double"}, work).where(F.col("__score") >= least).drop("__score")

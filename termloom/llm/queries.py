@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm import bpe, decontamination, pii, quality, secrets, token_counts, toxicity
+from termloom.llm import bpe, decontamination, embeddings, jaccard, pii, quality, secret_scan, token_counts, toxicity
 from termloom.llm.common import documents
 
 
@@ -15,7 +15,7 @@ def remainder(modulus: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
 
 
-def _labels(spark: SparkSession, sf_dir: str, column: str) -> DataFrame:
+def labels_of(spark: SparkSession, sf_dir: str, column: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", F.col(column).alias("label"))
 
 
@@ -26,7 +26,7 @@ def _scored(scores: DataFrame, held_out: Column) -> DataFrame:
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labels = _labels(spark, sf_dir, "quality").where(remainder(3) != 1)
+    labels = labels_of(spark, sf_dir, "quality").where(remainder(3) != 1)
     return _scored(quality.quality_scores(documents(spark, sf_dir), labels), remainder(3) == 1)
 
 
@@ -34,24 +34,28 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_pii(documents(spark, sf_dir), ["doc_id"])
     return found.select(
         "doc_id",
-        *(secrets.counted(F.col("known"), kind).alias(f"n_{kind}") for kind in pii.KINDS),
+        *(secret_scan.counted(F.col("known"), kind).alias(f"n_{kind}") for kind in pii.KINDS),
         F.sha2(pii.written(F.col("known")), 256).alias("base_sha256"),
         pii.written(F.col("found")).alias("spans"),
     )
 
 
+def op3_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.find_secrets(documents(spark, sf_dir).select("doc_id", "text"))
+    found = secret_scan.find_secrets(documents(spark, sf_dir).select("doc_id", "text"))
     return found.select(
         "doc_id",
-        *(secrets.counted(F.col("known"), kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")),
-        F.sha2(secrets.written(F.col("known")), 256).alias("base_sha256"),
-        secrets.written(F.col("found")).alias("spans"),
+        *(secret_scan.counted(F.col("known"), kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")),
+        F.sha2(secret_scan.written(F.col("known")), 256).alias("base_sha256"),
+        secret_scan.written(F.col("found")).alias("spans"),
     )
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labels = _labels(spark, sf_dir, "toxic").where(remainder(5) != 0)
+    labels = labels_of(spark, sf_dir, "toxic").where(remainder(5) != 0)
     return _scored(toxicity.toxicity_scores(documents(spark, sf_dir), labels), remainder(5) == 0)
 
 
@@ -60,6 +64,10 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(documents(spark, sf_dir), benchmark)
 
 
+def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_join(documents(spark, sf_dir))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir), ["doc_id"])
 
@@ -73,9 +81,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_quality,
         op2_pii,
+        op3_embeddings,
         op4_secrets,
         op5_toxicity,
         op6_decontamination,
+        op8_jaccard,
         op9_bpe,
         op10_token_counts,
     )

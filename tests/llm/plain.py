@@ -4,7 +4,7 @@ import hashlib
 import math
 import re
 
-from termloom.llm import decontamination, secrets
+from termloom.llm import decontamination, secret_scan
 
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
 
@@ -18,16 +18,16 @@ def secret_spans(text: str) -> tuple[list, list]:
     known += [("access", *m.span()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
     known += [("hex", *m.span()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32]
     more = []
-    for kind, (pattern, _, least) in secrets.CLASSES.items():
+    for kind, (pattern, _, least) in secret_scan.CLASSES.items():
         for m in re.finditer(pattern, text):
-            if not re.search(secrets.ALLOWED, m[0]) and best_entropy(m[0]) >= least:
+            if not re.search(secret_scan.ALLOWED, m[0]) and best_entropy(m[0]) >= least:
                 more.append((kind, *m.span()))
-    order = secrets.KINDS.index
+    order = secret_scan.KINDS.index
     return tuple(sorted(spans, key=lambda s: (s[1], order(s[0]))) for spans in (known, known + more))
 
 
 def best_entropy(string: str) -> float:
-    w = secrets.WINDOW
+    w = secret_scan.WINDOW
     windows = (string[i : i + w] for i in range(len(string) - w + 1))
     return max(-sum(x.count(c) / w * math.log2(x.count(c) / w) for c in set(x)) for x in windows)
 

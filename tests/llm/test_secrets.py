@@ -1,6 +1,6 @@
 import pytest
 
-from termloom.llm import secrets
+from termloom.llm import secret_scan
 from termloom.llm.queries import QUERIES
 from tests.llm import plain
 
@@ -24,7 +24,7 @@ def rows(spark):
 
 
 def test_spans_are_those_of_the_plain_version(rows):
-    found = secrets.find_secrets(rows).collect()
+    found = secret_scan.find_secrets(rows).collect()
     assert len(found) == len(TEXTS) + 2
     for r in found:
         known, spans = plain.secret_spans(r.text or "")
@@ -34,7 +34,7 @@ def test_spans_are_those_of_the_plain_version(rows):
 
 
 def test_high_entropy_is_found_and_the_allow_list_suppresses(rows):
-    kinds = {r.doc_id: [s.kind for s in r.found] for r in secrets.find_secrets(rows).collect()}
+    kinds = {r.doc_id: [s.kind for s in r.found] for r in secret_scan.find_secrets(rows).collect()}
     assert kinds[5] == ["entropy_base64"]
     assert kinds[7] == []
 
@@ -52,4 +52,4 @@ def test_query_over_whole_tables(spark):
 
 
 def test_empty_table(spark, rows):
-    assert secrets.find_secrets(rows.limit(0)).count() == 0
+    assert secret_scan.find_secrets(rows.limit(0)).count() == 0
