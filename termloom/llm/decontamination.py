@@ -78,13 +78,21 @@ def _benchmark_seeds(benchmark: DataFrame, masks: tuple[str, ...], short: list[i
     )
 
 
-def _agreeing() -> Column:
-    """Words that agree in the best window over a hit; -1 where no window fits into the document."""
-    shift = F.least(F.col("before"), F.col("at"))  # words before the hit that both have
+def _near(hits: DataFrame) -> DataFrame:
+    """Hits with the words around them in the document and, at the same distance, in the item.
+
+    Only these few words leave the stage that makes the seeds, never a text's whole array.
+    """
+    shift = F.least("before", "at")  # words before the hit that both have
     ours = F.slice("words", F.col("at") - shift + 1, shift + F.size("around") - F.col("before"))
     theirs = F.slice("around", F.col("before") - shift + 1, F.size("around"))
-    both = F.least(F.size(ours), F.size(theirs))
-    same = F.zip_with(F.slice(ours, F.lit(1), both), F.slice(theirs, F.lit(1), both), lambda a, b: (a == b).cast("int"))
+    return hits.select("doc_id", "item_id", "window", ours.alias("ours"), theirs.alias("theirs"))
+
+
+def _agreeing() -> Column:
+    """Words that agree in the best window over a hit; -1 where no window fits into the document."""
+    both = F.least(F.size("ours"), F.size("theirs"))
+    same = F.zip_with(F.slice("ours", F.lit(1), both), F.slice("theirs", F.lit(1), both), lambda a, b: (a == b).cast("int"))
     sums = F.transform(
         F.array(same),
         lambda s: F.when(
@@ -110,10 +118,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...]
     seeds = _benchmark_seeds(benchmark, masks, short)
     seeds = F.broadcast(seeds) if seeds.count() <= SENT_SEEDS else seeds.hint("merge")
     texts = docs.where("doc_id is not null").select("doc_id", words(F.col("text")).alias("words"))
-    hits = _seeds(texts, masks + tuple("1" * n for n in short)).join(seeds, "seed")
-    checked = hits.select("doc_id", "item_id", "window", _agreeing().alias("agreeing"))
+    hits = _near(_seeds(texts, masks + tuple("1" * n for n in short)).join(seeds, "seed"))
+    # Aggregated before it is filtered: a filter would move into the join and take it
+    # out of the stage that makes the seeds.
+    best = hits.groupBy("doc_id", "item_id", "window").agg(F.max(_agreeing()).alias("agreeing"))
     return (
-        checked.where(F.col("agreeing") >= F.ceil(F.col("window") * AGREEMENT))
+        best.where(F.col("agreeing") >= F.ceil(F.col("window") * AGREEMENT))
         .groupBy("doc_id", "item_id")
         .agg(F.max("agreeing").alias("agreeing"), F.max("window").alias("words"))
     )
