@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm import bpe, decontamination, embeddings, jaccard, pii, quality, secret_scan, token_counts, toxicity
+from termloom.llm import bpe, decontamination, embeddings, jaccard, pii, quality, secret_scan, suffix_dedup, token_counts, toxicity
 from termloom.llm.common import documents
 
 
@@ -64,6 +64,11 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(documents(spark, sf_dir), benchmark)
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffix_dedup.remove_repeats(documents(spark, sf_dir))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_join(documents(spark, sf_dir))
 
@@ -85,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_secrets,
         op5_toxicity,
         op6_decontamination,
+        op7_suffix_dedup,
         op8_jaccard,
         op9_bpe,
         op10_token_counts,

@@ -66,3 +66,60 @@ def contaminated(docs: list, items: list) -> set:
                                     key = (doc_id, item_id)
                                     best[key] = max(best.get(key, (0, w)), (n, w))
     return {(*key, *value) for key, value in best.items()}
+
+
+def kept_bytes(docs: list, length: int = 50) -> list:
+    """(doc_id, bytes, removed, spans, digest) of each row."""
+    first: dict = {}
+    for doc_id, text in docs:
+        data = (text or "").encode()
+        for p in range(len(data) - length + 1):
+            if doc_id is not None:
+                s = data[p : p + length]
+                first[s] = min(first.get(s, doc_id), doc_id)
+    made = []
+    for doc_id, text in docs:
+        data = (text or "").encode()
+        gone = bytearray(len(data))
+        for p in range(len(data) - length + 1):
+            if doc_id is not None and first[data[p : p + length]] < doc_id:
+                gone[p : p + length] = b"\1" * length
+        spans = len(bytes(gone).replace(b"\0", b" ").split())
+        rest = bytes(b for b, g in zip(data, gone) if not g)
+        made.append((doc_id, len(data), sum(gone), spans, hashlib.sha256(rest).hexdigest()))
+    return made
+
+
+def shingle_set(text: str | None) -> frozenset:
+    words = re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode().lower())
+    if not words:
+        return frozenset()
+    n = min(5, len(words))
+    return frozenset(tuple(words[i : i + n]) for i in range(len(words) - n + 1))
+
+
+def components(nodes, links) -> dict:
+    """The least node that each can reach."""
+    least = {n: n for n in nodes}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in links:
+            m = min(least[a], least[b])
+            changed |= least[a] != m or least[b] != m
+            least[a] = least[b] = m
+    return least
+
+
+def jaccard(docs: list) -> list:
+    """(doc_id, size of the set, component) of each row, by comparing all pairs."""
+    sets = [(i, shingle_set(t)) for i, t in docs]
+    links = []
+    for k, (i, a) in enumerate(sets):
+        for j, b in sets[:k]:
+            if a and b and i is not None and j is not None and 4 * min(len(a), len(b)) >= 3 * max(len(a), len(b)):
+                both = len(a & b)
+                if 100 * both >= 75 * (len(a) + len(b) - both):
+                    links.append((i, j))
+    least = components({i for i, _ in docs if i is not None}, links)
+    return [(i, len(s), least.get(i)) for i, s in sets]
