@@ -93,19 +93,28 @@ POSTINGS = (
     "document || ':' || word_count || '/' || doc_size, ',' ORDER BY document) AS postings"
     " FROM dealt GROUP BY word, df, block, blocks"
 )
-FORWARD = (
-    "SELECT document, doc_size, CAST(0 AS BIGINT) AS block, CAST(1 AS BIGINT) AS blocks,"
-    " string_agg(word || '=' || word_count, ' ' ORDER BY word) AS words"
-    " FROM weights GROUP BY document, doc_size"
+WHOLE_POSTINGS = (
+    ", dealt AS (SELECT *, CAST(0 AS BIGINT) AS block, CAST(1 AS BIGINT) AS blocks FROM weights)"
+    " SELECT word, df, block, blocks, string_agg("
+    "document || ':' || word_count || '/' || doc_size, ',' ORDER BY document) AS postings"
+    " FROM dealt GROUP BY word, df, block, blocks"
 )
-FORWARD_LINES = (
-    ", blocked AS (SELECT *, CAST(ceil(doc_size / 150) AS BIGINT) AS blocks FROM weights),"
+FORWARD = (
+    ", blocked AS (SELECT *, CAST(ceil(count(*) OVER (PARTITION BY document) / 150) AS BIGINT)"
+    " AS blocks FROM weights),"
     f" dealt AS (SELECT *, {DIGEST.format('word')} % blocks AS block FROM blocked)"
     " SELECT document, doc_size, block, blocks,"
     " string_agg(word || '=' || word_count, ' ' ORDER BY word) AS words"
     " FROM dealt GROUP BY document, doc_size, block, blocks"
 )
 
+
+def _named_sizes() -> str:
+    """Sizes of the documents of a folder of numbered files."""
+    name = "'part-' || lpad(CAST(doc_id % 64 AS VARCHAR), 5, '0')"
+    return _tokens(f"SELECT {name} AS document, text FROM documents", _whitespace("text")) + DOC_SIZES
+
+
 ORACLES = {
     "corpus": DOCUMENTS,
     "num_docs": "SELECT count(*) AS num_docs FROM documents",
@@ -135,8 +144,10 @@ ORACLES = {
     "tfidf_benchmark": _weights(BENCHMARK, _whitespace("text")) + WIDE,
     "postings": CLEAN + POSTINGS,
     "postings_expand": CLEAN + "SELECT word, document, num_docs, df FROM pairs",
+    "postings_whole": CLEAN + WHOLE_POSTINGS,
     "forward_index": CLEAN + FORWARD,
-    "forward_index_lines": LINES + FORWARD_LINES,
+    "forward_index_merged": CLEAN + FORWARD,
+    "forward_index_lines": LINES + FORWARD,
     "tf_report": CLEAN
     + "SELECT word || '@' || document AS key, word_count || '/' || doc_size AS value FROM pairs",
     "idf_report": CLEAN
@@ -146,6 +157,7 @@ ORACLES = {
     "report_lines": CLEAN
     + "SELECT document || '@' || word || chr(9) || printf('%.10f', tfidf) AS line FROM weights",
     "tf_stored": CLEAN + TF,
+    "text_lines_named": _named_sizes(),
     "text_files_word_totals": CLEAN + WORD_TOTALS,
     "text_lines_word_totals": CLEAN + WORD_TOTALS,
 }

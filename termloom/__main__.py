@@ -23,7 +23,11 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--document", default="document", help="its column of document names")
     parser.add_argument("--text", default="text", help="its column of texts")
     parser.add_argument("--unique", action="store_true", help="its document names are a key")
-    return parser.parse_args(argv)
+    parser.add_argument("--check-unique", action="store_true", help="fail if --unique is not true")
+    options = parser.parse_args(argv)
+    if options.lines and options.mode == "java_ws":
+        parser.error("--mode java_ws needs whole files, not --lines")
+    return options
 
 
 def run(spark, options: argparse.Namespace) -> None:
@@ -35,6 +39,8 @@ def run(spark, options: argparse.Namespace) -> None:
         corpus = sources.text_lines(spark, options.source)
     else:
         corpus = sources.text_files(spark, options.source)
+    if options.check_unique:
+        corpus.require_unique_documents()
     if options.report == "tf":
         report = plans.tf_report(operators.term_counts(corpus, options.mode)).orderBy("key")
     elif options.report == "idf":

@@ -17,6 +17,9 @@ class Corpus:
     ``rows_are_lines``: each row is one line of a file, so an empty text is a
     blank line rather than an empty document.
 
+    ``names``: the names of all documents, repeats allowed, where they are known
+    without reading the texts.
+
     A NULL text has no words, but its document counts. Rows with a NULL document
     belong to the document named by the empty string.
     """
@@ -24,12 +27,21 @@ class Corpus:
     rows: DataFrame
     one_row_per_document: bool = False
     rows_are_lines: bool = False
+    names: DataFrame | None = None
 
     def __post_init__(self):
         missing = {"document", "text"} - set(self.rows.columns)
         if missing:
             raise ValueError(f"corpus rows lack the columns {sorted(missing)}")
 
+    def require_unique_documents(self) -> "Corpus":
+        """Raise if ``one_row_per_document`` is claimed and wrong; reads the names once."""
+        if self.one_row_per_document:
+            twice = self.texts.groupBy("document").count().where("count > 1").first()
+            if twice is not None:
+                raise ValueError(f"document {twice.document!r} has {twice['count']} rows")
+        return self
+
     @property
     def texts(self) -> DataFrame:
         """The rows with a document that is never NULL.

@@ -48,6 +48,10 @@ def words(text: Column, mode: str = "whitespace", text_is_line: bool = False) ->
         # array_remove stays in generated code, a filter lambda would not.
         return F.array_remove(F.split(F.coalesce(text, F.lit("")), WHITESPACE_RUN), "")
     if mode == "java_ws":
+        if text_is_line:
+            # Only the first line of a file may begin with the empty word, and a
+            # line does not know whether it is the first.
+            raise ValueError("mode java_ws needs whole texts, not lines of files")
         split = _split_dropping_last_empties(text, WHITESPACE_RUN, WHITESPACE)
         found = F.transform(split, lambda w: F.btrim(w, F.lit(TRIMMED)))
     elif mode == "single_space":

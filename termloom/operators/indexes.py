@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 from termloom.corpus import Corpus
 from termloom.functions.counting import word_runs
 from termloom.operators.document_frequency import with_doc_freqs
-from termloom.operators.split_join import SPLIT_ROWS
-from termloom.operators.terms import _row_size, _row_words, num_docs, term_counts
+from termloom.operators.split_join import SPLIT_ROWS, join_split
+from termloom.operators.terms import _row_size, _row_words, num_docs, word_counts
 
 # Entries to a list. A list with more is stored as several blocks.
 BLOCK_ROWS = 100_000
@@ -57,6 +57,26 @@ def expand_postings(index: DataFrame, corpus: Corpus) -> DataFrame:
     ).select("word", "document", num_docs(corpus).scalar().alias("num_docs"), "df")
 
 
+def _entry_blocks(corpus: Corpus, mode: str, block_rows: int) -> DataFrame:
+    """The forward index of documents that are one row each, made inside the rows."""
+    rows = _row_words(corpus, mode).select(
+        "document", _row_size().alias("doc_size"), word_runs(F.col("words")).alias("entries")
+    )
+    blocks = _blocks(F.size("entries"), block_rows)
+    numbered = rows.select(
+        "*",
+        blocks.alias("blocks"),
+        F.explode_outer(
+            F.when(blocks > 0, F.sequence(F.lit(0).cast("bigint"), blocks - 1))
+        ).alias("block"),
+    )
+    of_block = F.filter("entries", lambda e: _block(e["word"], F.col("blocks")) == F.col("block"))
+    words = F.when(F.col("blocks") == 1, F.col("entries")).otherwise(of_block)
+    return numbered.select("document", "doc_size", "block", "blocks", words.alias("words")).where(
+        F.size("words") > 0
+    )
+
+
 def forward_index(
     corpus: Corpus,
     mode: str = "whitespace",
@@ -65,25 +85,25 @@ def forward_index(
 ) -> DataFrame:
     """``document, doc_size, block, blocks, words``: the words of each document.
 
-    ``words`` is ARRAY<STRUCT<word, word_count>> in word order. A document of
-    one row is one block, made inside its row. One of many rows has a block for
-    every ``block_rows`` word occurrences. Documents without words have none.
+    ``words`` is ARRAY<STRUCT<word, word_count>> in word order. The distinct words
+    of a document are dealt over one block for every ``block_rows`` of them, by a
+    digest of the word; a block that gets no word has no row. Documents of one row
+    and of many have the same index. Documents without words have none.
     """
     if corpus.one_row_per_document:
-        return (
-            _row_words(corpus, mode)
-            .select(
-                "document",
-                _row_size().alias("doc_size"),
-                F.lit(0).cast("bigint").alias("block"),
-                F.lit(1).cast("bigint").alias("blocks"),
-                word_runs(F.col("words")).alias("words"),
-            )
-            .where(F.col("doc_size") > 0)
-        )
+        return _entry_blocks(corpus, mode, block_rows)
+    counts = word_counts(corpus, mode)
+    # Testing the count keeps it in the aggregation, whose shuffle then serves both.
+    totals = (
+        counts.where(F.col("word_count") >= 1)
+        .groupBy("document")
+        .agg(F.sum("word_count").alias("doc_size"), F.count("*").alias("distinct"))
+    )
     return (
-        term_counts(corpus, mode, split_rows)
-        .withColumn("blocks", _blocks(F.col("doc_size"), block_rows))
+        join_split(
+            counts, totals, key="document", weight="distinct", spread="word", split_rows=split_rows
+        )
+        .withColumn("blocks", _blocks(F.col("distinct"), block_rows))
         .withColumn("block", _block(F.col("word"), F.col("blocks")))
         .groupBy("document", "doc_size", "block", "blocks")
         .agg(F.sort_array(F.collect_list(F.struct("word", "word_count"))).alias("words"))

@@ -15,7 +15,7 @@ def join_split(
     lookup: DataFrame,
     key: str,
     weight: str,
-    spread: str,
+    spread: str | tuple[str, ...],
     split_rows: int = SPLIT_ROWS,
 ) -> DataFrame:
     """``rows`` joined with ``lookup`` on ``key``, no key being one task's work.
@@ -26,7 +26,7 @@ def join_split(
     ``1 / MAX_SPLIT_KEYS`` share of all the candidates' rows, so there can be no
     more than ``MAX_SPLIT_KEYS`` heavy keys. The rows of a heavy key are dealt
     over as many pieces as it takes to bring each one down to that share, by a
-    hash of ``spread``, and its lookup row is copied to every piece. Copies add
+    hash of the columns ``spread``, and its lookup row is copied to every piece. Copies add
     at most ``2 * MAX_SPLIT_KEYS`` rows. Rows of other keys are in piece 0.
 
     Keys are recognised as heavy by their hash, so that long keys cost nothing
@@ -57,14 +57,14 @@ def join_split(
             .drop("_hash")
         )
 
+    columns = (spread,) if isinstance(spread, str) else spread
     dealt = with_pieces(rows).withColumn(
-        "_piece", F.pmod(F.xxhash64(spread), F.col("_pieces"))
+        "_piece", F.pmod(F.xxhash64(*columns), F.col("_pieces"))
     )
     copied = with_pieces(lookup).withColumn(
         "_piece", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_pieces") - 1))
     )
-    # The lookup's share of a partition is no larger than that of the rows it is
-    # for, so it is hashed and the many rows need no sorting. Without the hint,
-    # a scan's size before its texts are split may get the rows broadcast.
-    table = copied.drop("_pieces").hint("shuffle_hash")
-    return dealt.drop("_pieces").join(table, [key, "_piece"]).drop("_piece")
+    # No hint: the sizes that adaptive execution measures decide. A partition's
+    # share of the lookup is hashed where that is small, else both sides are sorted,
+    # which spills. The settings of build_session keep estimates out of it.
+    return dealt.drop("_pieces").join(copied.drop("_pieces"), [key, "_piece"]).drop("_piece")

@@ -36,22 +36,34 @@ def _row_counts(corpus: Corpus, mode: str) -> DataFrame:
     )
 
 
-def num_docs(corpus: Corpus) -> DataFrame:
-    """One row: the documents of the corpus, those without words included."""
+def num_docs(corpus: Corpus, mode: str = "whitespace") -> DataFrame:
+    """One row: the documents of the corpus, those without words included.
+
+    Names that are listed anyway spare reading the texts. Documents of many rows
+    are counted after their sizes of this mode are summed, whose shuffle is there
+    already wherever the sizes are used.
+    """
+    if corpus.names is not None:
+        return corpus.names.agg(F.count_distinct("document").alias("num_docs"))
     if corpus.one_row_per_document:
         return corpus.rows.agg(F.count("*").alias("num_docs"))
-    return corpus.texts.agg(F.count_distinct("document").alias("num_docs"))
+    # Testing the size keeps it in the aggregation, so that it is the one of doc_sizes.
+    return doc_sizes(corpus, mode).where("doc_size >= 0").agg(F.count("*").alias("num_docs"))
 
 
-def tokens(corpus: Corpus, mode: str = "whitespace") -> DataFrame:
-    """One row per word occurrence: ``document, word``, and ``doc_size`` where
-    the document is a single row, which knows it."""
-    sizes = [_row_size().alias("doc_size")] if corpus.one_row_per_document else []
-    return (
-        _row_words(corpus, mode)
-        .select("document", *sizes, F.explode_outer("words").alias("word"))
-        .where(F.col("word").isNotNull())
-    )
+def tokens(corpus: Corpus, mode: str = "whitespace", split_rows: int = SPLIT_ROWS) -> DataFrame:
+    """One row per word occurrence: ``document, doc_size, word``.
+
+    The size is known in the row where that is the whole document, else it is joined.
+    """
+    rows = _row_words(corpus, mode)
+    if corpus.one_row_per_document:
+        found = rows.select("document", _row_size().alias("doc_size"), F.explode_outer("words").alias("word"))
+        return found.where(F.col("word").isNotNull())
+    found = rows.select("document", F.posexplode_outer("words").alias("_place", "word")).where(F.col("word").isNotNull())
+    return join_split(
+        found, doc_sizes(corpus, mode), key="document", weight="doc_size", spread=("word", "_place"), split_rows=split_rows
+    ).select("document", "doc_size", "word")
 
 
 def doc_sizes(corpus: Corpus, mode: str = "whitespace") -> DataFrame:

@@ -26,19 +26,19 @@ def idf(corpus: Corpus, mode: str = "whitespace") -> DataFrame:
     """``word, num_docs, df, idf``"""
     return (
         doc_freqs(corpus, mode)
-        .select("word", num_docs(corpus).scalar().alias("num_docs"), "df")
+        .select("word", num_docs(corpus, mode).scalar().alias("num_docs"), "df")
         .withColumn("idf", weights.idf(F.col("num_docs"), F.col("df")))
     )
 
 
-def _weigh(pairs: DataFrame, corpus: Corpus) -> DataFrame:
+def _weigh(pairs: DataFrame, corpus: Corpus, mode: str) -> DataFrame:
     """Append num_docs, a scalar subquery of one value, and the three weights."""
     counts = pairs.select(
         "document",
         "word",
         "word_count",
         "doc_size",
-        num_docs(corpus).scalar().alias("num_docs"),
+        num_docs(corpus, mode).scalar().alias("num_docs"),
         "df",
     )
     word_count, doc_size = F.col("word_count"), F.col("doc_size")
@@ -61,7 +61,7 @@ def tfidf(
     ``document, word, word_count, doc_size, num_docs, df, tf, idf, tfidf``.
 
     ``frequencies`` may give the corpus's document frequencies, if stored."""
-    return _weigh(with_doc_freqs(corpus, mode, split_rows, frequencies), corpus)
+    return _weigh(with_doc_freqs(corpus, mode, split_rows, frequencies), corpus, mode)
 
 
 def tfidf_broadcast(
@@ -83,7 +83,7 @@ def tfidf_broadcast(
     ).first()
     if words > max_words or size > max_bytes:
         return tfidf(corpus, mode, frequencies=frequencies)
-    return _weigh(term_counts(corpus, mode).join(F.broadcast(frequencies), "word"), corpus)
+    return _weigh(term_counts(corpus, mode).join(F.broadcast(frequencies), "word"), corpus, mode)
 
 
 def tfidf_union(
@@ -95,7 +95,7 @@ def tfidf_union(
     pair, which brings exactly one of each together.
     """
     totals = with_doc_freqs(corpus, mode, split_rows).select(
-        "document", "word", num_docs(corpus).scalar().alias("num_docs"), "df"
+        "document", "word", num_docs(corpus, mode).scalar().alias("num_docs"), "df"
     )
     unknown = F.lit(None).cast("double")
     with_tf = tf(corpus, mode, split_rows).select("document", "word", "tf", unknown.alias("idf"))

@@ -12,6 +12,11 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Joins go by measured sizes. An estimate from a scan knows nothing of the words
+    # that its texts are split into.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10m",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
 }
 
 

@@ -12,24 +12,47 @@ def _file_name(name: Column) -> Column:
     return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
 
 
-def _may_repeat_names(paths: str | list[str]) -> bool:
-    return not isinstance(paths, str) or any(c in paths for c in "*?[{")
+def _may_repeat_names(spark: SparkSession, paths: str | list[str], **options) -> bool:
+    """Can two files have one name? Not in a single directory without subdirectories to read."""
+    if not isinstance(paths, str) or any(c in paths for c in "*?[{"):
+        return True
+    recursive = {k.lower(): str(v).lower() for k, v in options.items()}.get("recursivefilelookup")
+    # Partition directories show as columns.
+    return recursive == "true" or spark.read.options(**options).text(paths).columns != ["value"]
+
+
+def _listed(spark: SparkSession, paths: str | list[str], **options) -> DataFrame:
+    """``path`` of every file, of those without content too.
+
+    Spark's file index has listed them in the driver's JVM before any scan. They
+    become a relation there; Python never sees them.
+    """
+    names = spark.read.format("binaryFile").options(**options).load(paths)._jdf.inputFiles()
+    jvm = spark._jvm
+    listed = jvm.scala.jdk.javaapi.CollectionConverters.asJava(
+        jvm.scala.collection.immutable.ArraySeq.unsafeWrapArray(names)
+    )
+    rows = spark._jsparkSession.createDataset(listed, jvm.org.apache.spark.sql.Encoders.STRING())
+    # The index percent-encodes paths.
+    below_root = F.regexp_replace("value", "^[a-zA-Z][a-zA-Z0-9+.-]*:/*", "/")
+    return DataFrame(rows.toDF(), spark).select(_file_name(below_root).alias("path"))
+
+
+def _document() -> Column:
+    return F.element_at(F.split("path", "/"), -1).alias("document")
 
 
 def _empty_files(spark: SparkSession, paths: str | list[str], **options) -> DataFrame:
     """Names of the zero-length files, which Spark's scans leave out.
 
-    They still count as documents. The file index that Spark keeps for any scan
-    lists them; the files that do have content are found without opening them.
+    They still count as documents. The files that do have content are found
+    without opening them.
     """
     files = spark.read.format("binaryFile").options(**options).load(paths)
-    listed = spark.createDataFrame([(f,) for f in files.inputFiles()], "path string")
-    # The index percent-encodes paths, the column ``path`` does not.
+    # The column ``path`` is not percent-encoded.
     below_root = F.regexp_replace("path", "^[a-zA-Z][a-zA-Z0-9+.-]*:/*", "/")
-    missing = listed.select(_file_name(below_root).alias("path")).join(
-        files.select(below_root.alias("path")), "path", "left_anti"
-    )
-    return missing.select(F.element_at(F.split("path", "/"), -1).alias("document"))
+    missing = _listed(spark, paths, **options).join(files.select(below_root.alias("path")), "path", "left_anti")
+    return missing.select(_document())
 
 
 def text_files(spark: SparkSession, paths: str | list[str], **options) -> Corpus:
@@ -45,7 +68,9 @@ def text_files(spark: SparkSession, paths: str | list[str], **options) -> Corpus
     )
     empty = _empty_files(spark, paths, **options).withColumn("text", F.lit(""))
     return Corpus(
-        spread_scan(whole).unionByName(empty), one_row_per_document=not _may_repeat_names(paths)
+        spread_scan(whole).unionByName(empty),
+        one_row_per_document=not _may_repeat_names(spark, paths, **options),
+        names=_listed(spark, paths, **options).select(_document()),
     )
 
 
@@ -56,4 +81,8 @@ def text_lines(spark: SparkSession, paths: str | list[str], **options) -> Corpus
     )
     # A NULL text: the document exists but has no line, not even a blank one.
     empty = _empty_files(spark, paths, **options).withColumn("text", F.lit(None).cast("string"))
-    return Corpus(spread_scan(lines).unionByName(empty), rows_are_lines=True)
+    return Corpus(
+        spread_scan(lines).unionByName(empty),
+        rows_are_lines=True,
+        names=_listed(spark, paths, **options).select(_document()),
+    )

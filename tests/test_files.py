@@ -129,3 +129,25 @@ def test_store_and_durable(spark, tmp_path):
     assert "Scan ExistingRDD" in kept._jdf.queryExecution().toString()
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
     assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_same_names_in_partition_directories_are_one_document(spark, tmp_path):
+    for part, text in (("k=1", "a b\n"), ("k=2", "a\n")):
+        (tmp_path / part).mkdir()
+        (tmp_path / part / "doc").write_text(text)
+    whole, lines = text_files(spark, str(tmp_path)), text_lines(spark, str(tmp_path))
+    assert not whole.one_row_per_document
+    for c in (whole, lines, text_files(spark, str(tmp_path), recursiveFileLookup=True)):
+        assert [(r.document, r.doc_size) for r in operators.doc_sizes(c).collect()] == [("doc", 3)]
+        assert operators.num_docs(c).first()[0] == 1
+
+
+def test_modes_agree_between_files_and_lines_or_are_refused(spark, tmp_path):
+    (tmp_path / "a").write_text("a\n\n b  c\n")
+    (tmp_path / "empty").touch()
+    for mode in ("whitespace", "single_space"):
+        whole = operators.doc_sizes(text_files(spark, str(tmp_path)), mode)
+        lines = operators.doc_sizes(text_lines(spark, str(tmp_path)), mode)
+        assert sorted(whole.collect()) == sorted(lines.collect())
+    with pytest.raises(ValueError, match="java_ws"):
+        operators.doc_sizes(text_lines(spark, str(tmp_path)), "java_ws")

