@@ -1,12 +1,16 @@
 """Documents whose sets of word shingles are alike: a Jaccard self-join.
 
-1. One pass makes the set of each text: its size, a digest (equal sets are one class),
-   and counts of the shingles by cells of their hash. Cells far above the mean hold
-   shingles of very many documents: the long lists. All shingles are put in one order,
-   those of long lists last.
-2. Two sets that are alike enough share one of the first `n - ceil(t * n) + 1` shingles of
-   each. These prefixes are the only lists that are dealt out by shingle. Documents
-   that share one form a family, by connected components; links never leave a family.
+1. One pass makes the set of each text: its size and a digest (equal sets are one class).
+   A shingle that comes twice within a task is counted in a count-min sketch of fixed
+   size; those that come once, the bulk, are not. Any order of the shingles that all
+   documents share would do; theirs is by the sketch's estimate, then by hash, so
+   those with long lists come last.
+2. Two sets that are alike enough share l of the first `n - ceil(t * n) + l` shingles of
+   each, where l is the smaller of the two sets' `1 + n / 10`. These prefixes are the
+   only lists that are dealt out by shingle. In a short list all pairs of fitting sizes
+   are counted, and pairs that reach l are edges; documents of a longer list all get
+   an edge to its first. So a pair that is alike has an edge of its own, or is in one
+   longer list. Connected documents form a family; links never leave a family.
 3. Each family is searched with the whole sets of its documents, in tiles of bounded
    size where it is large. A search is a T-occurrence search by DivideSkip: of the
    inverted lists of a query's shingles the short ones are merged, which gives
@@ -26,6 +30,7 @@ links and a row each in the result; a row without doc_id is linked with nothing.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,8 +44,13 @@ from termloom.llm.embeddings import Forest
 
 WORDS = 5
 PERCENT = 75  # links: 100 * intersection >= PERCENT * union
-CELL_BITS = 16
-PARTS = 64  # of a long list
+DEPTH, CELL_BITS = 3, 21  # of the sketch, which takes 12 MB whatever the data
+CHUNK = 1 << 15  # cells that are summed up together
+HELD = 4_000_000  # shingles in which a task looks for repeats
+LONG = 1_000  # estimate from which a list is cut into parts
+PARTS = 64
+SHORT = 24  # documents of a list whose pairs are counted
+SHARE = 10  # of a set's size, one in so many shingles of the prefix must be shared
 TILE_DOCUMENTS = 1_024
 TILE_SHINGLES = 500_000
 LONG_WEIGHT = 0.1  # the share of DivideSkip's formula that a probe's cost has
@@ -101,62 +111,94 @@ def _digest(made: np.ndarray) -> bytes:
     return hashlib.blake2b(made.tobytes(), digest_size=16).digest()
 
 
+def _cells(made: np.ndarray, row: int) -> np.ndarray:
+    return (_mixed(made + np.uint64(row)) >> np.uint64(64 - CELL_BITS)).astype(np.int64)
+
+
 def _sets(docs: DataFrame) -> DataFrame:
-    """doc_id, n, digest of each row; and for each task a row of cell counts, without n."""
-    cells = 1 << CELL_BITS
+    """doc_id, n, digest of each row; and rows without n: chunks of the task's sketch."""
+    names = ["doc_id", "n", "digest", "chunk", "counts"]
+
+    def add(sketch: np.ndarray, held: list[np.ndarray]) -> None:
+        token, count = np.unique(np.concatenate(held), return_counts=True)
+        token, count = token[count > 1], count[count > 1]
+        for row in range(DEPTH):
+            sketch[row] += np.bincount(_cells(token, row), count, 1 << CELL_BITS).astype(np.int32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, seen = np.zeros(cells, np.int64), set()
+        sketch, seen = np.zeros((DEPTH, 1 << CELL_BITS), np.int32), set()
+        held, size = [], 0
         for batch in batches:
             n, digests = [], []
-            for text in batch.column(1).to_pylist():
-                made = shingles(text)
+            for text in batch.column(1):
+                made = shingles(text.as_py())
                 digests.append(_digest(made) if len(made) else None)
                 n.append(len(made))
                 if digests[-1] not in seen:
-                    counts += np.bincount((made >> np.uint64(64 - CELL_BITS)).astype(np.int64), minlength=cells)
                     if len(seen) < REMEMBERED:
                         seen.add(digests[-1])
-            empty = pa.nulls(len(n), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(digests, pa.binary()), empty], names=["doc_id", "n", "digest", "counts"])
-        yield pa.RecordBatch.from_arrays(
-            [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([counts], pa.list_(pa.int64()))],
-            names=["doc_id", "n", "digest", "counts"],
-        )
+                    held.append(made)
+                    size += len(made)
+                    if size >= HELD:
+                        add(sketch, held)
+                        held, size = [], 0
+            empty = [pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(digests, pa.binary()), *empty], names=names)
+        if held:
+            add(sketch, held)
+        chunks = sketch.reshape(-1, CHUNK)
+        some = np.flatnonzero(chunks.any(axis=1))
+        empty = [pa.nulls(len(some), kind) for kind in (pa.int64(), pa.int64(), pa.binary())]
+        packed = [zlib.compress(chunks[i].tobytes(), 1) for i in some]
+        yield pa.RecordBatch.from_arrays([*empty, pa.array(some.astype(np.int32)), pa.array(packed, pa.binary())], names=names)
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInArrow(run, "doc_id bigint, n bigint, digest binary, counts array<bigint>")
+    return rows.mapInArrow(run, "doc_id bigint, n bigint, digest binary, chunk int, counts binary")
+
+
+class Sketch:
+    """Estimates of how many documents have a shingle; 0 for those never seen twice."""
+
+    def __init__(self, sets: DataFrame):
+        self.cells = np.zeros((DEPTH, 1 << CELL_BITS), np.uint16)
+        chunks = self.cells.reshape(-1, CHUNK)
 
+        def add(table: pa.Table) -> pa.Table:
+            total = np.zeros(CHUNK, np.int64)
+            for counts in table["counts"]:
+                total += np.frombuffer(zlib.decompress(counts.as_py()), np.int32)
+            packed = zlib.compress(np.minimum(total, 65535).astype(np.uint16).tobytes(), 1)
+            return pa.table({"chunk": table["chunk"][:1], "counts": pa.array([packed], pa.binary())})
 
-def _long_cells(sets: DataFrame) -> np.ndarray:
-    """By cell, its count if that is far above the mean, else 0."""
-    found = sets.where("counts is not null").select(F.posexplode("counts").alias("cell", "x")).groupBy("cell").agg(F.sum("x").alias("x"))
-    counts = np.zeros(1 << CELL_BITS, np.int64)
-    for r in found.collect():  # as many rows as cells
-        counts[r.cell] = r.x
-    usual = np.median(counts)
-    counts[counts <= usual + 8 * np.sqrt(usual) + 32] = 0
-    return counts
+        parts = sets.where("counts is not null").select("chunk", "counts")
+        for r in parts.groupBy("chunk").applyInArrow(add, "chunk int, counts binary").collect():  # DEPTH * 2^CELL_BITS cells
+            chunks[r.chunk] = np.frombuffer(zlib.decompress(r.counts), np.uint16)
 
+    def estimate(self, made: np.ndarray) -> np.ndarray:
+        found = self.cells[0, _cells(made, 0)]
+        for row in range(1, DEPTH):
+            found = np.minimum(found, self.cells[row, _cells(made, row)])
+        return found
 
-def _prefix(made: np.ndarray, long_cells: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first shingles in the common order, and the counts of their cells if those are long."""
-    keep = len(made) + (-percent * len(made)) // 100 + 1
-    count = long_cells[(made >> np.uint64(64 - CELL_BITS)).astype(np.int64)]
-    order = np.lexsort((made, count))[:keep]
-    return made[order], count[order]
 
+def _prefix(made: np.ndarray, sketch: Sketch, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first shingles in the common order, and their estimates."""
+    keep = len(made) + (-percent * len(made)) // 100 + 1 + len(made) // SHARE
+    estimate = sketch.estimate(made)
+    order = np.lexsort((made, estimate))[:keep]
+    return made[order], estimate[order]
 
-def _shared_prefixes(docs: DataFrame, long_cells: np.ndarray, percent: int) -> DataFrame:
-    """Links a, b between documents that share a shingle of their prefixes: stars around leaders."""
-    model = docs.sparkSession.sparkContext.broadcast(long_cells)  # half a megabyte, always
+
+def _shared_prefixes(docs: DataFrame, sketch: Sketch, percent: int) -> DataFrame:
+    """Edges a, b between documents whose prefixes share enough."""
+    model = docs.sparkSession.sparkContext.broadcast(sketch)  # 12 MB, always
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        long_cells, seen = model.value, set()
+        sketch, seen = model.value, set()
         for batch in batches:
             ids, texts = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_pylist()
             for part in slices(texts):
-                token, salt, owner = [], [], []
+                token, salt, owner, size = [], [], [], []
                 for doc_id, text in zip(ids[part], texts[part]):
                     made = shingles(text)
                     digest = _digest(made)
@@ -164,24 +206,45 @@ def _shared_prefixes(docs: DataFrame, long_cells: np.ndarray, percent: int) -> D
                         continue
                     if len(seen) < REMEMBERED:
                         seen.add(digest)
-                    first, count = _prefix(made, long_cells, percent)
+                    first, estimate = _prefix(made, sketch, percent)
                     token.append(first.view(np.int64))
-                    salt.append(np.where(count > 0, 1 + int(_mixed(np.array([doc_id]).astype(np.uint64))[0] % np.uint64(PARTS)), 0))
+                    salt.append(np.where(estimate > LONG, 1 + int(_mixed(np.array([doc_id]).astype(np.uint64))[0] % np.uint64(PARTS)), 0))
                     owner.append(np.full(len(first), doc_id))
+                    size.append(np.full(len(first), len(made), np.int32))
                 if token:
-                    arrays = [np.concatenate(token), np.concatenate(salt).astype(np.int32), np.concatenate(owner)]
-                    yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names=["token", "salt", "doc_id"])
+                    arrays = [np.concatenate(token), np.concatenate(salt).astype(np.int32), np.concatenate(owner), np.concatenate(size)]
+                    yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names=["token", "salt", "doc_id", "n"])
 
     texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = texts.mapInArrow(run, "token bigint, salt int, doc_id bigint")
-    led = rows.select("*", F.min("doc_id").over(Window.partitionBy("token", "salt")).alias("leader"))
-    links = led.where("leader < doc_id or salt > 0").select("token", "salt", "leader", "doc_id")
-    links = stored(links, "jaccard-prefixes")
-    leaders = links.where("salt > 0").groupBy("token", "salt").agg(F.min("leader").alias("leader"))
+    rows = texts.mapInArrow(run, "token bigint, salt int, doc_id bigint, n int")
+    of_list = Window.partitionBy("token", "salt")
+    lists = rows.select("*", F.min("doc_id").over(of_list).alias("leader"), F.count("*").over(of_list).alias("length"))
+    shared = stored(lists.where("length > 1 or salt > 0"), "jaccard-prefixes")
+    long = shared.where((F.col("salt") > 0) | (F.col("length") > SHORT))
+    leaders = long.where("salt > 0").groupBy("token", "salt").agg(F.min("leader").alias("leader"))
     first = leaders.groupBy("token").agg(F.min("leader").alias("a"))
     across = leaders.join(first, "token").select("a", F.col("leader").alias("b"))
-    within = links.select(F.col("leader").alias("a"), F.col("doc_id").alias("b"))
-    return within.union(across).where("a < b").distinct()
+    within = long.select(F.col("leader").alias("a"), F.col("doc_id").alias("b"))
+    short = shared.where((F.col("salt") == 0) & (F.col("length") <= SHORT))
+    return within.union(across).where("a < b").union(_counted_pairs(short, percent)).distinct()
+
+
+def _counted_pairs(short: DataFrame, percent: int) -> DataFrame:
+    """Pairs a, b of short lists that share as many shingles as alike pairs must."""
+    members = short.groupBy("token").agg(F.sort_array(F.collect_list(F.struct("doc_id", "n"))).alias("m"))
+
+    def pairs(x, i):
+        later = F.filter(
+            F.slice("m", i + 2, F.lit(SHORT)),
+            lambda y: (F.greatest(x["n"], y["n"]) * percent <= F.least(x["n"], y["n"]) * 100) & (x["doc_id"] < y["doc_id"]),
+        )
+        return F.transform(
+            later, lambda y: F.struct(x["doc_id"].alias("a"), y["doc_id"].alias("b"), F.least(x["n"], y["n"]).alias("n"))
+        )
+
+    found = members.select(F.explode(F.flatten(F.transform("m", pairs))).alias("p")).select("p.a", "p.b", "p.n")
+    counted = found.groupBy("a", "b", "n").agg(F.count("*").alias("shared"))
+    return counted.where(F.col("shared") >= 1 + F.floor(F.col("n") / SHARE)).select("a", "b")
 
 
 class Index:
@@ -274,7 +337,7 @@ def jaccard_join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of `docs` (doc_id, text)."""
     sets = stored(_sets(docs), "jaccard-sets")
     rows = sets.where("n is not null")
-    families = connected_components(_shared_prefixes(docs, _long_cells(sets), percent)).toDF("doc_id", "family")
+    families = connected_components(_shared_prefixes(docs, Sketch(sets), percent)).toDF("doc_id", "family")
     families = stored(families.union(families.select("family", "family")).distinct(), "jaccard-families")
     links = _links(docs, families, sets, percent)
     # Documents of one digest, and of one doc_id, are one.
