@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from termloom.llm import bpe, decontamination, embeddings, jaccard, pii, quality, secret_scan, suffix_dedup, token_counts, toxicity
 from termloom.llm.common import documents
+from termloom.llm.oracles import ORACLES  # noqa: F401
 
 
 def remainder(modulus: int) -> Column:
@@ -97,4 +98,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLES: dict[str, str] = {}
