@@ -5,9 +5,9 @@ from pyspark.sql import functions as F
 
 from termloom.corpus import Corpus
 from termloom.functions.counting import word_runs
-from termloom.operators.document_frequency import with_doc_freqs
+from termloom.operators.document_frequency import doc_freqs
 from termloom.operators.split_join import SPLIT_ROWS, join_split
-from termloom.operators.terms import _row_size, _row_words, num_docs, word_counts
+from termloom.operators.terms import _row_size, _row_words, num_docs, term_counts, word_counts
 
 # Entries to a list. A list with more is stored as several blocks.
 BLOCK_ROWS = 100_000
@@ -15,8 +15,11 @@ BLOCK_ROWS = 100_000
 
 def _block(entry: Column, blocks: Column) -> Column:
     """The block of an entry, by a digest of its name; 0 where there is only one."""
-    digest = F.conv(F.substring(F.md5(entry), 1, 8), 16, 10).cast("bigint")
-    return F.when(blocks > 1, F.pmod(digest, blocks)).otherwise(F.lit(0).cast("bigint"))
+    return F.when(blocks > 1, F.pmod(_digest(entry), blocks)).otherwise(F.lit(0).cast("bigint"))
+
+
+def _digest(entry: Column) -> Column:
+    return F.conv(F.substring(F.md5(entry), 1, 8), 16, 10).cast("bigint")
 
 
 def _blocks(entries: Column, block_rows: int) -> Column:
@@ -34,19 +37,31 @@ def postings(
     ``postings`` is ARRAY<STRUCT<document, word_count, doc_size>> in document
     order. The list of a word in more than ``block_rows`` documents is dealt
     over ``blocks`` rows of about that length, so that no word needs its whole
-    list in one task; together they are the whole list.
+    list in one task; together they are the whole list. A word that the join deals
+    into more pieces than that has as many blocks as pieces, or a multiple.
     """
-    blocks = _blocks(F.col("df"), block_rows)
+    # The join deals a common word into pieces, by the same digest. With a whole number
+    # of blocks to a piece the lists are made where the join has put the entries.
+    pairs = join_split(
+        term_counts(corpus, mode, split_rows),
+        doc_freqs(corpus, mode),
+        key="word",
+        weight="df",
+        spread=_digest(F.col("document")),
+        split_rows=split_rows,
+        keep_pieces=True,
+    )
+    pieces = F.col("_pieces")
     return (
-        with_doc_freqs(corpus, mode, split_rows)
-        .withColumn("blocks", blocks)
+        pairs.withColumn("blocks", pieces * F.ceil(_blocks(F.col("df"), block_rows) / pieces))
         .withColumn("block", _block(F.col("document"), F.col("blocks")))
-        .groupBy("word", "df", "block", "blocks")
+        .groupBy("word", "_piece", "df", "block", "blocks")
         .agg(
             F.sort_array(F.collect_list(F.struct("document", "word_count", "doc_size"))).alias(
                 "postings"
             )
         )
+        .drop("_piece")
     )
 
 

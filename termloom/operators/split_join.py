@@ -1,6 +1,6 @@
 """An equi-join that splits heavy keys."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # At most this many keys are split, whatever the data. They travel in a
@@ -15,8 +15,9 @@ def join_split(
     lookup: DataFrame,
     key: str,
     weight: str,
-    spread: str | tuple[str, ...],
+    spread: str | tuple[str, ...] | Column,
     split_rows: int = SPLIT_ROWS,
+    keep_pieces: bool = False,
 ) -> DataFrame:
     """``rows`` joined with ``lookup`` on ``key``, no key being one task's work.
 
@@ -33,6 +34,10 @@ def join_split(
     in the broadcast table. A light key that shares a heavy one's hash is split
     as well, on both sides alike: the join itself compares the keys.
 
+    With ``keep_pieces`` the columns ``_piece`` and ``_pieces`` stay. The joined rows lie by
+    key and piece, so grouping by both, and by whatever refines them, needs no
+    shuffle. ``spread`` may be a whole number to deal by, instead of columns to hash.
+
     The pieces follow from the data alone, so a recomputed task makes the same
     ones.
     """
@@ -57,14 +62,15 @@ def join_split(
             .drop("_hash")
         )
 
-    columns = (spread,) if isinstance(spread, str) else spread
-    dealt = with_pieces(rows).withColumn(
-        "_piece", F.pmod(F.xxhash64(*columns), F.col("_pieces"))
-    )
+    if isinstance(spread, str):
+        spread = (spread,)
+    number = spread if isinstance(spread, Column) else F.xxhash64(*spread)
+    dealt = with_pieces(rows).withColumn("_piece", F.pmod(number, F.col("_pieces")))
     copied = with_pieces(lookup).withColumn(
         "_piece", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_pieces") - 1))
     )
     # No hint: the sizes that adaptive execution measures decide. A partition's
     # share of the lookup is hashed where that is small, else both sides are sorted,
     # which spills. The settings of build_session keep estimates out of it.
-    return dealt.drop("_pieces").join(copied.drop("_pieces"), [key, "_piece"]).drop("_piece")
+    joined = dealt.join(copied.drop("_pieces"), [key, "_piece"])
+    return joined if keep_pieces else joined.drop("_piece", "_pieces")

@@ -116,6 +116,14 @@ def test_merged_documents_share_one_aggregation(spark):
     assert text_scans(plan) <= 2
 
 
+def test_postings_shuffle_the_pairs_once(spark):
+    """The lists are made where the join has put the entries."""
+    with settings(spark, spark__sql__adaptive__autoBroadcastJoinThreshold="-1"):
+        plan = final_plan(operators.postings(entries.documents(spark, SF), split_rows=20, block_rows=7))
+    assert not re.search(r"hashpartitioning\([^)]*block", plan)
+    assert len(re.findall(r"hashpartitioning\(word#\d+, _piece", plan)) == 2  # pairs and lookup
+
+
 def test_small_vocabulary_is_broadcast_without_a_shuffle_of_pairs(spark):
     plan = initial_plan(plans.tfidf_broadcast(entries.documents(spark, SF)))
     assert "BroadcastHashJoin [word" in plan
