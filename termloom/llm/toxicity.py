@@ -135,11 +135,11 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Mod
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([model.found(t) for t in texts], pa.list_(pa.int32()))], names=["label", "found"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([model.found(t).astype("<i4").tobytes() for t in texts], pa.binary())], names=["label", "found"])
 
-    seen = rows.mapInArrow(features, "label int, found array<int>").collect()  # about train_rows at most
+    seen = rows.mapInArrow(features, "label int, found binary").collect()  # about train_rows at most
     model.weights, model.constant = _logistic(
-        [np.array(r.found, np.int64) for r in seen], np.array([r.label for r in seen], float), model.ratios.astype(np.float64), model.constant
+        [np.frombuffer(r.found, "<i4") for r in seen], np.array([r.label for r in seen], float), model.ratios.astype(np.float64), model.constant
     )
     return model
 
