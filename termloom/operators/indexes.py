@@ -77,18 +77,24 @@ def _entry_blocks(corpus: Corpus, mode: str, block_rows: int) -> DataFrame:
     rows = _row_words(corpus, mode).select(
         "document", _row_size().alias("doc_size"), word_runs(F.col("words")).alias("entries")
     )
-    blocks = _blocks(F.size("entries"), block_rows)
-    numbered = rows.select(
-        "*",
-        blocks.alias("blocks"),
-        F.explode_outer(
-            F.when(blocks > 0, F.sequence(F.lit(0).cast("bigint"), blocks - 1))
-        ).alias("block"),
+    numbered = rows.withColumn("blocks", _blocks(F.size("entries"), block_rows)).select(
+        "document",
+        "doc_size",
+        "blocks",
+        F.transform(
+            "entries",
+            lambda e: F.struct(_block(e["word"], F.col("blocks")).alias("block"), e.alias("entry")),
+        ).alias("dealt"),
     )
-    of_block = F.filter("entries", lambda e: _block(e["word"], F.col("blocks")) == F.col("block"))
-    words = F.when(F.col("blocks") == 1, F.col("entries")).otherwise(of_block)
-    return numbered.select("document", "doc_size", "block", "blocks", words.alias("words")).where(
-        F.size("words") > 0
+    # Only blocks that have an entry, so that nothing need be filtered afterwards.
+    each = numbered.select("*", F.explode_outer(F.array_distinct("dealt.block")).alias("block"))
+    of_block = F.filter("dealt", lambda d: d["block"] == F.col("block"))
+    return each.where(F.col("block").isNotNull()).select(
+        "document",
+        "doc_size",
+        "block",
+        "blocks",
+        F.transform(of_block, lambda d: d["entry"]).alias("words"),
     )
 
 
