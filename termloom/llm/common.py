@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -31,6 +32,16 @@ def stored(relation: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(relation.schema).parquet(path)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Have the files of shuffles that nothing can read any more deleted now.
+
+    Spark deletes them when the driver's garbage is collected, which it may not be
+    for as long as a whole pipeline runs.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def slices(texts: list[str | None]) -> Iterator[slice]:
     """Cut a list of texts into runs of at most BATCH_CHARS characters, one text at least."""
     start = chars = 0

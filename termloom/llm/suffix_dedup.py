@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from termloom.llm.common import stored
+from termloom.llm.common import release_shuffles, stored
 from termloom.llm.jaccard import _LETTERS, _mixed, _Powers
 
 LENGTH = 50
@@ -89,9 +89,12 @@ def stretches(data: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 def _first_pass(docs: DataFrame) -> DataFrame:
-    """Stretches by anchor; those that the task has settled have a length of 0 and their document as anchor."""
+    """Stretches by anchor, their place as start << 16 | size.
 
-    names = ["anchor", "stretch", "doc_id", "place", "size"]
+    A stretch that the task has settled has the complement of its place, which is
+    negative, and is dealt by its document.
+    """
+    names = ["anchor", "stretch", "doc_id", "place"]
 
     def settle(held: list[tuple]) -> pa.RecordBatch:
         anchor, stretch, doc, start, end = (np.concatenate(x) for x in zip(*held))
@@ -101,11 +104,8 @@ def _first_pass(docs: DataFrame) -> DataFrame:
         settled = np.zeros(len(order), bool)
         settled[order] = doc[order] > doc[order][first]
         place = start << 16 | (end - start)
-        place[settled] = start[settled] << 16
-        # A settled stretch still has to find its document: it is dealt by that.
-        anchor = np.where(settled, doc, anchor)
-        size = (end - start).astype(np.int16)
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in (anchor, stretch, doc, place, size)], names=names)
+        columns = (np.where(settled, doc, anchor), stretch, doc, np.where(settled, ~place, place))
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, count = [], 0
@@ -122,7 +122,7 @@ def _first_pass(docs: DataFrame) -> DataFrame:
         if held:
             yield settle(held)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "anchor bigint, stretch bigint, doc_id bigint, place bigint, size smallint")
+    return docs.select("doc_id", "text").mapInArrow(run, "anchor bigint, stretch bigint, doc_id bigint, place bigint")
 
 
 def _surrounded(texts: DataFrame, open_: DataFrame) -> DataFrame:
@@ -283,25 +283,34 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     dealt = _first_pass(texts)
     by_anchor, equal = Window.partitionBy("anchor"), Window.partitionBy("anchor", "stretch")
-    settled_before = (F.col("place").bitwiseAND(F.lit(0xFFFF)) == 0)
+    before = F.col("place") < 0  # settled by a task
     judged = dealt.select(
         "*",
-        settled_before.alias("done"),
-        F.min(F.when(~settled_before, F.col("doc_id"))).over(equal).alias("least"),
-        F.min(F.when(~settled_before, F.col("stretch"))).over(by_anchor).alias("one"),
-        F.max(F.when(~settled_before, F.col("stretch"))).over(by_anchor).alias("other"),
+        F.min(F.when(~before, F.col("doc_id"))).over(equal).alias("least"),
+        F.min(F.when(~before, F.col("stretch"))).over(by_anchor).alias("one"),
+        F.max(F.when(~before, F.col("stretch"))).over(by_anchor).alias("other"),
     )
-    settled = F.col("done") | (F.col("doc_id") > F.col("least"))
-    start = F.shiftright("place", 16).cast("int")
+    settled = before | (F.col("doc_id") > F.col("least"))
+    place = F.when(before, F.bitwise_not("place")).otherwise(F.col("place"))
     left = stored(
-        judged.where(settled | (F.col("one") != F.col("other"))).select("doc_id", start.alias("start"), "size", "stretch", settled.alias("settled")),
+        judged.where(settled | (F.col("one") != F.col("other"))).select(
+            "doc_id",
+            F.shiftright(place, 16).cast("int").alias("start"),
+            place.bitwiseAND(F.lit(0xFFFF)).cast("smallint").alias("size"),
+            "stretch",
+            settled.alias("settled"),
+        ),
         "suffix-stretches",
     )
+    del dealt, judged
+    release_shuffles(docs.sparkSession)
     whole = left.where("settled").select("doc_id", "start", (F.col("start") + F.col("size")).alias("end"), F.col("stretch").alias("hash"))
     surrounded = _surrounded(texts, left.where("not settled").select("doc_id", "start", "stretch"))
     buckets = max(1, -(-left.where("not settled").count() // BUCKET_STRETCHES))
     bucketed = surrounded.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)))
-    parts = bucketed.groupBy("bucket").applyInArrow(lambda table: _bucket(table), SPANS)
+    parts = stored(bucketed.groupBy("bucket").applyInArrow(lambda table: _bucket(table), SPANS), "suffix-spans")
+    del surrounded, bucketed
+    release_shuffles(docs.sparkSession)
     return whole.union(parts)
 
 
