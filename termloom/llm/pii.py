@@ -3,9 +3,11 @@
 The nodes of the field are the words with digits or an at sign. Neighbouring ones are
 linked as a chain, and each is linked to the previous word of the same text that
 equals it, or that ends in the same seven digits: these skip links make distant
-mentions share what they say. Words within a known form are observed. Loopy message
-passing gives each other word the probability of its labels, and one that is more
-likely of a kind than all else becomes a span.
+mentions share what they say. Words within a known form are observed. What an observed
+word says fades along a chain of links, so a word between two that are not observed is
+also linked to the latest such word before it that is, or else to the first after it.
+Loopy message passing, until the messages rest, gives each other word the probability of
+its labels, and one that is more likely of a kind than all else becomes a span.
 
 The weights are learnt from the known forms themselves, by pseudo-likelihood: the
 words of all texts are counted by shape, cue, labels of the linked words and own
@@ -51,7 +53,8 @@ CUES = {
 SIZES = (8, 3, 5, 3, 2, 3, 5)
 LABELS = len(KINDS) + 1  # the first is none
 NOBODY = LABELS  # the label of a linked word that does not exist
-ROUNDS = 10
+ROUNDS = 10  # of messages, besides two for each link of the longest chain
+RESTING = 1e-6  # change of a message that is passed on no more
 DAMPING = 0.3
 SURE = 0.5
 PENALTY = 1.0
@@ -104,7 +107,8 @@ class Graph:
     def __init__(self, texts: list[str]):
         self.known: list[list] = []
         self.where: list[tuple[int, int, int]] = []  # text, start, end
-        labels, attributes, chain, skip = [], [], [], []
+        labels, attributes, chain, skip, direct = [], [], [], [], []
+        self.longest = 0  # links in a row, of one kind
         for i, text in enumerate(texts):
             if not ANY_NODE.search(text):
                 self.known.append([])
@@ -113,7 +117,10 @@ class Graph:
             self.known.append(spans)
             by_place = sorted((a, b, k) for k, a, b in spans)
             latest: dict[str, int] = {}
-            next_span, previous_end = 0, -1
+            observed: dict[str, int] = {}
+            waiting: dict[str, list[int]] = {}
+            length: dict[str, int] = {}
+            next_span, previous_end, run = 0, -1, 0
             for m in NODE.finditer(text):
                 core = m.group().strip("\"'`,;:!?()[]{}<>.#$%&*|")
                 start = m.start() + m.group().find(core) if core else m.start()
@@ -132,16 +139,31 @@ class Graph:
                 self.where.append((i, start, end))
                 if previous_end >= 0 and text[previous_end : m.start()].isspace():
                     chain.append((node - 1, node))
+                    run += 1
+                else:
+                    run = 0
                 previous_end = m.end()
                 digits = re.sub(r"[^0-9]", "", core[-64:])
                 key = digits[-7:] if len(digits) >= 7 else core.lower()
-                if key in latest:
-                    skip.append((latest[key], node))
+                before = latest.get(key)
+                if before is not None:
+                    skip.append((before, node))
+                if label:
+                    # The last that waits has the skip link.
+                    direct += [(node, other) for other in waiting.pop(key, [])[:-1]]
+                    observed[key] = node
+                elif key not in observed:
+                    waiting.setdefault(key, []).append(node)
+                elif not labels[before]:
+                    direct.append((observed[key], node))
                 latest[key] = node
+                length[key] = length.get(key, 0) + 1
+                self.longest = max(self.longest, run, length[key])
         self.labels = np.array(labels, np.int64)
         self.attributes = np.array(attributes, np.int64).reshape(-1, len(SIZES))
         self.chain = np.array(chain, np.int64).reshape(-1, 2)
         self.skip = np.array(skip, np.int64).reshape(-1, 2)
+        self.direct = np.array(direct, np.int64).reshape(-1, 2)
 
     @staticmethod
     def _attributes(text: str, at: int, core: str) -> tuple:
@@ -215,22 +237,34 @@ class Field:
         seen = np.flatnonzero(graph.labels)
         score[seen, graph.labels[seen]] = 50.0
         score -= score.max(axis=1, keepdims=True)
-        links = np.vstack([graph.chain, graph.skip])
-        pair = np.stack([self.chain] * len(graph.chain) + [self.skip] * len(graph.skip)) if len(links) else np.zeros((0, LABELS, LABELS))
+        links = np.vstack([graph.chain, graph.skip, graph.direct])
+        kinds = [self.chain] * len(graph.chain) + [self.skip] * (len(graph.skip) + len(graph.direct))
+        pair = np.stack(kinds) if len(links) else np.zeros((0, LABELS, LABELS))
         # Messages along each link, forwards and backwards, as logarithms.
         source, to = np.concatenate([links[:, 0], links[:, 1]]), np.concatenate([links[:, 1], links[:, 0]])
         potential = np.concatenate([pair, pair.transpose(0, 2, 1)])
         back = np.concatenate([np.arange(len(links)) + len(links), np.arange(len(links))])
         message = np.zeros((len(source), LABELS))
-        for _ in range(ROUNDS if len(links) else 0):
-            belief = score.copy()
-            np.add.at(belief, to, message)
-            sent = (belief[source] - message[back])[:, :, None] + potential
+        # Observed nodes hear nothing: many messages would outvote them.
+        hears = graph.labels[to] == 0
+        active = np.flatnonzero(hears)
+        for _ in range(ROUNDS + 2 * graph.longest):
+            if not len(active):
+                break
+            sent = (score[source[active]] - message[back[active]])[:, :, None] + potential[active]
             top = sent.max(axis=1, keepdims=True)
             new = (top + np.log(np.exp(sent - top).sum(axis=1, keepdims=True)))[:, 0, :]
             new -= new.max(axis=1, keepdims=True)
-            message = DAMPING * message + (1 - DAMPING) * new
-        np.add.at(score, to, message)
+            change = (1 - DAMPING) * (new - message[active])
+            message[active] += change
+            np.add.at(score, to[active], change)
+            # Those that moved go on, and those that listen to them.
+            moved = active[np.abs(change).max(axis=1) > RESTING]
+            heard = np.zeros(len(score), bool)
+            heard[to[moved]] = True
+            following = heard[source]
+            following[moved] = True
+            active = np.flatnonzero(following & hears)
         p = np.exp(score - score.max(axis=1, keepdims=True))
         return p / p.sum(axis=1, keepdims=True)
 

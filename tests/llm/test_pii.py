@@ -1,5 +1,6 @@
 import re
 
+import numpy as np
 import pytest
 
 from termloom.llm import pii
@@ -56,6 +57,24 @@ def test_repeated_words_share_their_label(trained):
     assert [(k, text[a:b]) for k, a, b in found] == [(3, "+1 (555) 003-7713"), (3, "0037713")]
 
 
+@pytest.mark.parametrize("before", [0, 1, 25, 49])
+def test_many_mentions_share_their_label(trained, before):
+    bare = " Later: 0037713 again."
+    text = bare * before + " call +1 (555) 003-7713 now." + bare * (50 - before)
+    found = trained.spans([text, "room 12 of 2024"])[1]
+    assert [text[a:b] for k, a, b in found[0] if k == 3].count("0037713") == 50 and len(found[0]) == 51
+    assert found[1] == []
+
+
+def test_messages_go_on_until_they_rest(trained):
+    words = " ".join(f"n{i}" for i in range(400))
+    long = trained.marginals(pii.Graph(["+1 (555) 003-7713 " + words]))
+    field = pii.Field()
+    field.chain = np.eye(pii.LABELS) * 9.0
+    far = field.marginals(pii.Graph(["+1 (555) 003-7713 " + words]))
+    assert np.isfinite(long).all() and far[:60].argmax(axis=1).tolist() == [4] * 60
+
+
 def test_clean_texts_stay_clean(trained):
     assert trained.spans(["room 12 of 2024, lot 99", "no digits at all", ""])[1] == [[], [], []]
 
