@@ -5,24 +5,30 @@ a word hashes the words under its ones, so it does not see a substituted word un
 zero. The hashes of all masks at all places of the benchmark are joined to those of
 the documents. Around each hit the two are compared word by word at the same distance:
 a window of `WINDOW` words over the hit, or the whole item if it is shorter, must
-agree in `AGREEMENT` of its words. The masks miss no window of 13 words with two
-substitutions. Words are compared by 64-bit hashes.
+agree in `AGREEMENT` of its words. The masks miss no window of 12 or 13 words with two
+substitutions. An item of fewer words has masks of its own, as long as the item: for each
+set of words that may be substituted, one that has no ones there. Words are compared by
+64-bit hashes.
 
 The benchmark's hashes are sent to all tasks if they are known to be few; else both
 sides are shuffled by hash. Null texts and null ids: a null or empty text has no
 words, and rows without doc_id or item_id are in no result. Items or documents with
-one id are judged apart and reported together. An item of fewer words than a mask has
-places is hashed whole.
+one id are judged apart and reported together.
 """
 
 from __future__ import annotations
 
+import math
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MASKS = ("111111", "1010001111", "1101011001")
 WINDOW = 13
 AGREEMENT = 0.8
+COVERED = 12  # words from which MASKS miss nothing
+WEIGHT = 6  # ones that a mask of a shorter item has at least, if that leaves it enough zeros
 SENT_SEEDS = 300_000  # rows of some 250 bytes that may be sent to every task
 
 
@@ -32,10 +38,25 @@ def words(text: Column) -> Column:
     return F.transform(found, lambda w: F.xxhash64(w))
 
 
+def _own_masks(n: int) -> tuple[str, ...]:
+    """Masks for items of n words, few and heavy ones.
+
+    The words are cut into blocks; each mask has zeros in as many blocks as words may be
+    substituted, and there is a mask for every choice of these blocks.
+    """
+    wrong = n - math.ceil(n * AGREEMENT)
+    for blocks in range(wrong + 1, n + 1):
+        of = [i * blocks // n for i in range(n)]
+        masks = ["".join("0" if b in zeros else "1" for b in of) for zeros in combinations(range(blocks), wrong)]
+        if min(m.count("1") for m in masks) >= min(WEIGHT, n - wrong):
+            break
+    return tuple(masks)
+
+
 def _seed(words: Column, at: Column, mask: str) -> Column:
     """The hash under a mask at a place, null where the mask goes beyond the end."""
     picked = [F.get(words, at + i) for i, bit in enumerate(mask) if bit == "1"]
-    return F.when(picked[-1].isNotNull(), F.xxhash64(F.lit(mask), *picked))
+    return F.when(F.get(words, at + len(mask) - 1).isNotNull(), F.xxhash64(F.lit(mask), *picked))
 
 
 def _seeds(rows: DataFrame, masks: tuple[str, ...]) -> DataFrame:
@@ -51,21 +72,20 @@ def _seeds(rows: DataFrame, masks: tuple[str, ...]) -> DataFrame:
     return at.select("*", F.posexplode_outer(each).alias("mask", "seed")).where("at is not null and seed is not null")
 
 
-def _benchmark_seeds(benchmark: DataFrame, masks: tuple[str, ...], short: list[int]) -> DataFrame:
+def _benchmark_seeds(benchmark: DataFrame, masks: tuple[str, ...], own: tuple[str, ...]) -> DataFrame:
     """The seeds of the items, with the words around each that a window over it can reach."""
-    whole = tuple("1" * n for n in short)
     rows = benchmark.select("item_id", words(F.col("text")).alias("words")).where("item_id is not null").withColumn("size", F.size("words"))
-    spans = F.array(*(F.lit(len(m)) for m in masks + whole))
+    spans = F.array(*(F.lit(len(m)) for m in masks + own))
     span = F.get(spans, F.col("mask"))
     window = F.least(F.lit(WINDOW), F.col("size"))
     first = F.greatest(F.lit(0), F.col("at") + span - window)
     end = F.least(F.col("size"), F.col("at") + window)
-    # An item that a mask fits has no use for seeds of whole items.
-    fits = F.col("mask") < len(masks)
-    apart = F.col("size") < min(map(len, masks))
+    # Items have either the seeds of their size or those of all others.
+    general = F.col("mask") < len(masks)
+    apart = F.col("size") < COVERED
     return (
-        _seeds(rows, masks + whole)
-        .where((fits & ~apart) | (~fits & (F.col("size") == span)))
+        _seeds(rows, masks + own)
+        .where((general & ~apart) | (~general & (F.col("size") == span)))
         .select(
             "seed",
             "item_id",
@@ -113,12 +133,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...]
 
     One row for each pair of a document and an item whose passage it holds.
     """
-    sizes = benchmark.select(F.size(words(F.col("text"))).alias("n")).where(F.col("n").between(1, min(map(len, masks)) - 1))
-    short = sorted(r.n for r in sizes.distinct().collect())  # fewer than a mask has places
-    seeds = _benchmark_seeds(benchmark, masks, short)
+    sizes = benchmark.select(F.size(words(F.col("text"))).alias("n")).where(F.col("n").between(1, COVERED - 1))
+    own = tuple(m for n in sorted(r.n for r in sizes.distinct().collect()) for m in _own_masks(n))
+    seeds = _benchmark_seeds(benchmark, masks, own)
     seeds = F.broadcast(seeds) if seeds.count() <= SENT_SEEDS else seeds.hint("merge")
     texts = docs.where("doc_id is not null").select("doc_id", words(F.col("text")).alias("words"))
-    hits = _near(_seeds(texts, masks + tuple("1" * n for n in short)).join(seeds, "seed"))
+    hits = _near(_seeds(texts, masks + own).join(seeds, "seed"))
     # Aggregated before it is filtered: a filter would move into the join and take it
     # out of the stage that makes the seeds.
     best = hits.groupBy("doc_id", "item_id", "window").agg(F.max(_agreeing()).alias("agreeing"))

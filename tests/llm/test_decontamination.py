@@ -1,3 +1,5 @@
+import itertools
+import math
 import random
 
 from termloom.llm import decontamination
@@ -50,3 +52,34 @@ def test_many_seeds_are_joined_without_sending_them(spark, monkeypatch):
     items = spark.read.parquet(f"{sf}/benchmark.parquet")
     got = {tuple(r) for r in decontamination.contamination(docs, items).collect()}
     assert got == {tuple(r) for r in QUERIES["op6_decontamination"](spark, sf).collect()}
+
+
+def every_window(docs: list, items: list) -> set:
+    """(doc_id, item_id, agreeing, window) by sliding every window of every item over every place, without masks."""
+    best: dict = {}
+    for (doc_id, text), (item_id, passage) in itertools.product(docs, items):
+        d, t = text.split(), passage.split()
+        w = min(decontamination.WINDOW, len(t))
+        for s, i in itertools.product(range(len(t) - w + 1), range(len(d) - w + 1)):
+            n = sum(a == b for a, b in zip(t[s : s + w], d[i : i + w]))
+            if n >= math.ceil(w * decontamination.AGREEMENT):
+                best[doc_id, item_id] = max(best.get((doc_id, item_id), (0, w)), (n, w))
+    return {(*key, *value) for key, value in best.items()}
+
+
+def test_short_items_with_every_allowed_substitution(spark):
+    docs, items = [], []
+    for n in range(1, 15):
+        item = [f"w{n}x{i}" for i in range(n)]
+        items.append((n, " ".join(item)))
+        wrong = min(n, 13) - math.ceil(min(n, 13) * decontamination.AGREEMENT)
+        for size in (wrong, wrong + 1):
+            for places in itertools.combinations(range(n), size):
+                text = ["other" if i in places else w for i, w in enumerate(item)]
+                docs.append((len(docs), " ".join(["start"] * (len(docs) % 3) + text + ["end"] * (len(docs) % 2))))
+    docs.append((len(docs), "w5x0 w5x1 w5x2 w5x3"))
+    found = decontamination.contamination(
+        spark.createDataFrame([(*d, "", 0) for d in docs], DOCS), spark.createDataFrame([(*i, "", 1) for i in items], ITEMS)
+    )
+    got = sorted((r.doc_id, r.item_id, r.agreeing, r.words) for r in found.collect())
+    assert got == sorted(every_window(docs, items)) and {r[1] for r in got} == set(range(1, 15))
