@@ -36,8 +36,10 @@ def release_shuffles(spark: SparkSession) -> None:
     """Have the files of shuffles that nothing can read any more deleted now.
 
     Spark deletes them when the driver's garbage is collected, which it may not be
-    for as long as a whole pipeline runs.
+    for as long as a whole pipeline runs. The listeners hold the plan of the last query
+    until the next one, so a small one is run first.
     """
+    spark.range(1).collect()
     gc.collect()
     spark.sparkContext._jvm.System.gc()
 

@@ -9,14 +9,18 @@ the suffixes are first dealt into small buckets that hold all equal ones.
    anchor; such a run, with all bytes of its strings, is a stretch. Equal strings have
    equal anchors, at the same distance. Only hashes of stretches are dealt out, by
    anchor. A stretch that a smaller doc_id also has is settled, within a task even
-   before the shuffle. An anchor whose stretches are all equal is settled, too.
+   before the shuffle. An anchor whose stretches are all equal is settled, too. Of an
+   anchor that a task holds with many different stretches, two stand for it and the
+   others are known to be open, so that no anchor is a large group.
 2. What is left are stretches with equal anchors but other bytes around them: ends of
    shared passages, places of edits, chance. Their bytes are dealt by the anchor with
    half of its surroundings to the left, and to the right; each string has one of the
    two whole. In each bucket the suffixes at the strings' starts are sorted by merging;
    two suffixes are compared by binary search for the length of their common
    beginning, by prefix hashes. Neighbours that seem equal are compared by bytes; if any
-   differ after all, the bucket is sorted by its bytes.
+   differ after all, the bucket is sorted by its bytes. A key with more stretches than
+   a bucket is to have is split over several; of each string such a part passes on those
+   of its least doc_id, and these are compared by their bytes with those of other parts.
 3. The spans found are brought to their documents, checked against the text by their
    hash, and cut out.
 
@@ -42,7 +46,12 @@ ANCHOR = 16
 STRINGS = LENGTH - ANCHOR + 1  # sequences of ANCHOR bytes in a string, and places of an anchor
 HALF = STRINGS // 2
 HELD = 1_000_000  # stretches that a task holds to settle equal ones
+# A task takes an anchor for common if it holds more different stretches of it than a share of all, and than so many.
+COMMON_SHARE = 1 << 14
+COMMON_LEAST = 8
+OPEN = 0x8000  # in a place: open without being judged
 BUCKET_STRETCHES = 4_000
+SENT_KEYS = 1_000_000  # rows of some 20 bytes that may be sent to every task
 
 SPANS = "doc_id bigint, start int, end int, hash bigint"
 
@@ -92,7 +101,8 @@ def _first_pass(docs: DataFrame) -> DataFrame:
     """Stretches by anchor, their place as start << 16 | size.
 
     A stretch that the task has settled has the complement of its place, which is
-    negative, and is dealt by its document.
+    negative, and is dealt by its document. So is one of a common anchor, with the bit
+    OPEN in its place, but for two different ones, which keep all others of the anchor open.
     """
     names = ["anchor", "stretch", "doc_id", "place"]
 
@@ -103,8 +113,15 @@ def _first_pass(docs: DataFrame) -> DataFrame:
         first = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
         settled = np.zeros(len(order), bool)
         settled[order] = doc[order] > doc[order][first]
+        heads = np.flatnonzero(new)
+        group = np.cumsum(np.concatenate([[True], anchor[order][heads][1:] != anchor[order][heads][:-1]])) - 1
+        rank = np.arange(len(heads)) - np.flatnonzero(np.diff(group, prepend=-1))[group]
+        common = np.bincount(group) > max(COMMON_LEAST, len(order) // COMMON_SHARE)
+        open_ = np.zeros(len(order), bool)
+        open_[order] = (common[group] & (rank > 1))[np.cumsum(new) - 1]
+        open_ &= ~settled
         place = start << 16 | (end - start)
-        columns = (np.where(settled, doc, anchor), stretch, doc, np.where(settled, ~place, place))
+        columns = (np.where(settled | open_, doc, anchor), stretch, doc, np.where(settled, ~place, np.where(open_, place | OPEN, place)))
         return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,14 +252,31 @@ class SuffixSorter:
         return made
 
 
+def _bucketed(surrounded: DataFrame) -> DataFrame:
+    """`surrounded` with the bucket of each row, and if its key is split over several."""
+    counts = surrounded.groupBy("key", "right").agg(F.count("*").alias("n"))
+    large = stored(counts.where(F.col("n") > BUCKET_STRETCHES), "suffix-keys")
+    large = F.broadcast(large) if large.count() <= SENT_KEYS else large
+    buckets = max(1, -(-surrounded.count() // (2 * BUCKET_STRETCHES)))
+    parts = F.ceil(F.col("n") / BUCKET_STRETCHES)
+    part = F.when(F.col("n").isNotNull(), F.pmod(F.xxhash64("doc_id", "start"), parts)).otherwise(F.lit(0))
+    return surrounded.join(large, ["key", "right"], "left").select(
+        *surrounded.columns, F.col("n").isNotNull().alias("split"), F.pmod(F.xxhash64("key", part), F.lit(buckets)).alias("bucket")
+    )
+
+
 def _bucket(table: pa.Table) -> pa.Table:
-    """Spans of strings in a bucket that a smaller doc_id has as well."""
+    """Spans of strings in a bucket that a smaller doc_id has as well.
+
+    Of strings with a key that is split, those of the least doc_id here follow, with
+    their bytes.
+    """
     key, right = table["key"].to_numpy(), table["right"].to_numpy(zero_copy_only=False)
     doc, place = table["doc_id"].to_numpy(), table["start"].to_numpy().astype(np.int64)
     anchor_at = table["anchor_at"].to_numpy().astype(np.int64)
     content = table["bytes"].to_pylist()
     group = np.unique(key * 2 + right, return_inverse=True)[1]
-    alone = np.bincount(group)[group] < 2
+    alone = (np.bincount(group)[group] < 2) & ~table["split"].to_numpy(zero_copy_only=False)
     sizes = np.array([len(c) for c in content])
     offset = np.cumsum(sizes) - sizes
     data = Bytes(np.frombuffer(b"".join(content), dtype=np.uint8))
@@ -272,10 +306,14 @@ def _bucket(table: pa.Table) -> pa.Table:
     owner = doc[row[order]]
     heads = np.flatnonzero(first)
     least = np.minimum.reduceat(owner, heads)[np.cumsum(first) - 1] if len(heads) else owner
-    gone = order[owner > least]
-    at = place[row[gone]] + start[gone] - offset[row[gone]]
-    hashed = data.hash(start[gone], start[gone] + LENGTH)
-    return pa.table({"doc_id": doc[row[gone]], "start": at.astype(np.int32), "end": (at + LENGTH).astype(np.int32), "hash": hashed})
+    split = table["split"].to_numpy(zero_copy_only=False)
+    gone, rest = order[owner > least], order[(owner == least) & split[row[order]]]
+    strings = [None] * len(gone) + [data.data[s : s + LENGTH].tobytes() for s in start[rest]]
+    made = np.concatenate([gone, rest])
+    at = place[row[made]] + start[made] - offset[row[made]]
+    hashed = data.hash(start[made], start[made] + LENGTH)
+    columns = {"doc_id": doc[row[made]], "start": at.astype(np.int32), "end": (at + LENGTH).astype(np.int32), "hash": hashed}
+    return pa.table({**columns, "string": pa.array(strings, pa.binary())})
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
@@ -284,19 +322,21 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     dealt = _first_pass(texts)
     by_anchor, equal = Window.partitionBy("anchor"), Window.partitionBy("anchor", "stretch")
     before = F.col("place") < 0  # settled by a task
+    open_ = ~before & (F.col("place").bitwiseAND(F.lit(OPEN)) != 0)
+    asked = ~before & ~open_
     judged = dealt.select(
         "*",
-        F.min(F.when(~before, F.col("doc_id"))).over(equal).alias("least"),
-        F.min(F.when(~before, F.col("stretch"))).over(by_anchor).alias("one"),
-        F.max(F.when(~before, F.col("stretch"))).over(by_anchor).alias("other"),
+        F.min(F.when(asked, F.col("doc_id"))).over(equal).alias("least"),
+        F.min(F.when(asked, F.col("stretch"))).over(by_anchor).alias("one"),
+        F.max(F.when(asked, F.col("stretch"))).over(by_anchor).alias("other"),
     )
-    settled = before | (F.col("doc_id") > F.col("least"))
+    settled = before | (asked & (F.col("doc_id") > F.col("least")))
     place = F.when(before, F.bitwise_not("place")).otherwise(F.col("place"))
     left = stored(
-        judged.where(settled | (F.col("one") != F.col("other"))).select(
+        judged.where(settled | open_ | (F.col("one") != F.col("other"))).select(
             "doc_id",
             F.shiftright(place, 16).cast("int").alias("start"),
-            place.bitwiseAND(F.lit(0xFFFF)).cast("smallint").alias("size"),
+            place.bitwiseAND(F.lit(OPEN - 1)).cast("smallint").alias("size"),
             "stretch",
             settled.alias("settled"),
         ),
@@ -305,13 +345,18 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     del dealt, judged
     release_shuffles(docs.sparkSession)
     whole = left.where("settled").select("doc_id", "start", (F.col("start") + F.col("size")).alias("end"), F.col("stretch").alias("hash"))
-    surrounded = _surrounded(texts, left.where("not settled").select("doc_id", "start", "stretch"))
-    buckets = max(1, -(-left.where("not settled").count() // BUCKET_STRETCHES))
-    bucketed = surrounded.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)))
-    parts = stored(bucketed.groupBy("bucket").applyInArrow(lambda table: _bucket(table), SPANS), "suffix-spans")
-    del surrounded, bucketed
+    # Stored, as keys are counted before they are dealt.
+    surrounded = stored(_surrounded(texts, left.where("not settled").select("doc_id", "start", "stretch")), "suffix-surrounded")
+    release_shuffles(docs.sparkSession)
+    grouped = _bucketed(surrounded).groupBy("bucket")
+    found = stored(grouped.applyInArrow(lambda table: _bucket(table), f"{SPANS}, string binary"), "suffix-spans")
+    del surrounded, grouped
     release_shuffles(docs.sparkSession)
-    return whole.union(parts)
+    columns = ["doc_id", "start", "end", "hash"]
+    parts = found.where("string is null").select(columns)
+    least = F.min("doc_id").over(Window.partitionBy("string"))
+    merged = found.where("string is not null").withColumn("least", least).where("doc_id > least").select(columns)
+    return whole.union(parts).union(merged)
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:

@@ -45,3 +45,22 @@ def test_sorter_sorts_as_bytes_do():
     made = suffix_dedup.SuffixSorter(suffix_dedup.Bytes(data), start, segment).sorted()
     keys = [(segment[i], data[start[i] : start[i] + 50].tobytes()) for i in made]
     assert keys == sorted(keys) and sorted(made) == list(range(len(start)))
+
+
+def test_a_common_key_is_not_one_group(spark, monkeypatch):
+    rng = random.Random(3)
+    passage = "A passage that nearly every document holds, and which is followed by other words each time: "
+    tails = ["".join(rng.choice("abcdefgh ") for _ in range(60)) for _ in range(400)]
+    docs = [(i, f"{rng.random()} {passage}{tails[i % 400]}") for i in range(600)]
+    rows = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3)
+    anchors = suffix_dedup._first_pass(rows).where("place >= 0").groupBy("anchor").count()
+    assert anchors.agg({"count": "max"}).first()[0] < 60
+    monkeypatch.setattr(suffix_dedup, "BUCKET_STRETCHES", 50)
+    whole = suffix_dedup._bucket
+
+    def bounded(table):
+        assert table.num_rows < 400, table.num_rows
+        return whole(table)
+
+    monkeypatch.setattr(suffix_dedup, "_bucket", bounded)
+    assert removed(spark, docs) == sorted(plain.kept_bytes(docs), key=str)
