@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm import bpe, decontamination, embeddings, jaccard, pii, quality, secret_scan, suffix_dedup, token_counts, toxicity, whitening
+from termloom.llm import bpe, decontamination, embeddings, jaccard, pii, quality, quality_rules, secret_scan, suffix_dedup, token_counts, toxicity, whitening
 from termloom.llm.common import documents
 from termloom.llm.oracles import ORACLES  # noqa: F401
 
@@ -86,6 +86,10 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judged(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -100,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_bpe,
         op10_token_counts,
         op12_whitening,
+        op13_quality_rules,
     )
 }
 
