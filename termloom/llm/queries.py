@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm import bpe, decontamination, embeddings, jaccard, pii, quality, quality_rules, secret_scan, suffix_dedup, token_counts, toxicity, whitening
+from termloom.llm import alignment, bpe, decontamination, embeddings, jaccard, pii, quality, quality_rules, secret_scan, suffix_dedup, token_counts, toxicity, whitening
 from termloom.llm.common import documents
 from termloom.llm.oracles import ORACLES  # noqa: F401
 
@@ -82,6 +82,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir), ["doc_id"])
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(documents(spark, sf_dir), ["doc_id"])
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
@@ -103,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_jaccard,
         op9_bpe,
         op10_token_counts,
+        op11_alignment,
         op12_whitening,
         op13_quality_rules,
     )
