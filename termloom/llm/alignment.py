@@ -47,8 +47,10 @@ from termloom.llm.common import map_texts, stored
 VOCABULARY_A = "byte_bpe_50k.json"
 VOCABULARY_B = "piece_bpe_32k.model"
 SPACE = "▁"
-CACHED_PIECES = 200_000
-CACHED_CHARS = 8_000_000
+TOGETHER = 4_000  # pieces encoded as one text
+LARGE = 4_096  # links of a group that are looked at one by one
+CACHED_PIECES = 500_000
+CACHED_CHARS = 16_000_000
 SENT_PAIRS = 1_000_000  # rows of 17 bytes
 CELLS = 8  # of counts, to a power of two
 
@@ -88,6 +90,10 @@ class Aligner:
         self.bytes_b = [
             bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(names)
         ]
+        self.sizes_a = np.array([len(self.bytes_a.get(i, b"")) for i in range(max(self.bytes_a) + 1)])
+        self.sizes_b = np.array([len(p) for p in self.bytes_b])
+        # How an id is written before another of its group, and as the last of its side.
+        self.shown = [f"{i}{mark}" for i in range(len(self.sizes_a)) for mark in ",|"] + [f"{i}{mark}" for i in range(self.width) for mark in ",;"]
         own = spec.get("pre_tokenizer") or {}
         cuts = own.get("type") == "ByteLevel" and own.get("use_regex") and spec.get("normalizer") is None
         cuts = cuts and not any(SPACE in p.lstrip(SPACE) for p in names)
@@ -105,6 +111,15 @@ class Aligner:
         self.keys, self.links = array("q"), array("q")
 
     def _learn(self, pieces: list[str]) -> None:
+        # Together they are cut as each alone, but for those that end in white space.
+        joined = [p for p in pieces if not p[-1].isspace()]
+        for i in range(0, len(joined), TOGETHER):
+            part = joined[i : i + TOGETHER]
+            if not self._learn_joined(part):
+                self._learn_each(part)
+        self._learn_each([p for p in pieces if p[-1].isspace()])
+
+    def _learn_each(self, pieces: list[str]) -> None:
         made_a = self.a.encode_batch(pieces, add_special_tokens=False)
         # B adds a space: in place of the piece's own, or one that is taken off again.
         made_b = self.b.encode([p.removeprefix(" ") for p in pieces], return_type="proto", num_threads=1)
@@ -114,8 +129,67 @@ class Aligner:
             except Unsound:
                 groups = None
             self._keep(groups)
-            self.known[piece] = len(self.written) - 1
-            self.chars += len(piece)
+            self._note(piece)
+
+    def _note(self, piece: str) -> None:
+        self.known[piece] = len(self.known)
+        self.chars += len(piece)
+
+    def _learn_joined(self, pieces: list[str]) -> bool:
+        """Take pieces as one text; False, and nothing is learnt, if some are not sound or have large groups."""
+        first = " a"  # takes the space that B adds
+        text = first + "".join(pieces)
+        data = text.encode()
+        raw = np.frombuffer(data, np.uint8)
+        encoded = self.a.encode(text, add_special_tokens=False)
+        a, until = np.array(encoded.ids), np.array(encoded.offsets)[:, 1]
+        coarse_a = np.append(np.flatnonzero(raw & 0xC0 != 0x80), len(raw))[until]
+        found = np.array([(p.id, p.end) for p in self.b.encode(text[1:], return_type="proto", num_threads=1).pieces])
+        b, coarse_b = found[:, 0], found[:, 1] + 1
+        ends = []
+        for ids, parts, sizes, coarse in ((a, self.bytes_a, self.sizes_a, coarse_a), (b, self.bytes_b, self.sizes_b, coarse_b)):
+            if b"".join([parts[i] for i in ids.tolist()]) != data:
+                return False
+            end = np.cumsum(sizes[ids])
+            inside = end[end != coarse]
+            if (inside >= len(raw)).any() or (raw[inside] & 0xC0 != 0x80).any():
+                return False
+            ends.append(end)
+        cuts = np.intersect1d(*ends, assume_unique=True)
+        last = np.cumsum([len(first), *(len(p.encode()) for p in pieces)])
+        group_a, group_b = np.searchsorted(cuts, ends[0]), np.searchsorted(cuts, ends[1])
+        n_a, n_b = np.bincount(group_a), np.bincount(group_b)
+        if not np.isin(last, cuts, assume_unique=True).all() or (n_a * n_b).max() > LARGE:
+            return False
+        piece = np.searchsorted(last, cuts)  # of each group; 0 is the one put first
+        before_a, before_b = np.cumsum(n_a), np.cumsum(n_b) - n_b
+        # Each group's tokens of A, then those of B, as they are written.
+        shown = np.empty(len(a) + len(b), np.int64)
+        shown[np.arange(len(a)) + before_b[group_a]] = 2 * a + np.append(np.diff(group_a) > 0, True)
+        shown[np.arange(len(b)) + before_a[group_b]] = 2 * (len(self.sizes_a) + b) + np.append(np.diff(group_b) > 0, True)
+        strings = [self.shown[i] for i in shown.tolist()]
+        n = len(pieces) + 1
+        of_a, of_b = np.bincount(piece[group_a], minlength=n), np.bincount(piece[group_b], minlength=n)
+        at = np.cumsum(of_a + of_b).tolist()
+        self.written.extend(["".join(strings[i:j]) for i, j in zip(at[:-1], at[1:])])
+        # Every token of A with every token of B of its group.
+        times = n_b[group_a]
+        other = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times) + np.repeat(before_b[group_a], times)
+        key, owner = np.repeat(a, times) * self.width + b[other], np.repeat(piece[group_a], times)
+        order = np.lexsort((key, owner))
+        key, owner = key[order], owner[order]
+        new = np.flatnonzero(np.append(True, (np.diff(owner) != 0) | (np.diff(key) != 0)))
+        links = np.diff(np.append(new, len(key)))
+        new, links = new[owner[new] > 0], links[owner[new] > 0]
+        n_links, n_pairs = np.bincount(owner, minlength=n), np.bincount(owner[new], minlength=n)
+        self.counts.extend(np.stack([of_a, of_b, np.bincount(piece, minlength=n), n_links], axis=1)[1:].ravel().tolist())
+        start = len(self.keys)
+        self.keys.frombytes(key[new].astype(np.int64).tobytes())
+        self.links.frombytes(links.astype(np.int64).tobytes())
+        self.starts.extend((start + np.cumsum(n_pairs[1:])).tolist())
+        for p in pieces:
+            self._note(p)
+        return True
 
     def _groups(self, piece: str, a, b) -> list[tuple[list[int], list[int]]]:
         data = piece.encode()
@@ -146,7 +220,7 @@ class Aligner:
             for x, n in Counter(in_a).items():
                 for y, m in times_b.items():
                     pairs[x * self.width + y] += n * m
-        shown = None if groups is None else ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in groups)
+        shown = None if groups is None else "".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) + ";" for x, y in groups)
         self.written.append(shown)
         groups = groups or []
         self.counts.extend((sum(len(x) for x, _ in groups), sum(len(y) for _, y in groups), len(groups), pairs.total()))
@@ -160,15 +234,14 @@ class Aligner:
             self._forget()
         cut = [self.pieces.findall(f" {t}") if t else [] for t in texts]
         new = list({p: None for pieces in cut for p in pieces if p not in self.known})
-        for i in range(0, len(new), 1000):
-            self._learn(new[i : i + 1000])
+        self._learn(new)
         digests = []
         numbers = [[self.known[p] for p in pieces] for pieces in cut]
         for k, found in enumerate(numbers):
             shown = [self.written[i] for i in found]
             if None in shown:
                 numbers[k] = shown = []
-            digests.append(hashlib.sha256(";".join(shown).encode()).hexdigest() if shown else "")
+            digests.append(hashlib.sha256("".join(shown)[:-1].encode()).hexdigest() if shown else "")
         owner = np.repeat(np.arange(len(texts)), [len(n) for n in numbers])
         piece = np.fromiter((i for n in numbers for i in n), np.int64, len(owner))
         counts = np.array(self.counts, np.int64).reshape(-1, 4)
