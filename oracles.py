@@ -86,8 +86,10 @@ DOC_FREQS = "SELECT word, count(*) AS df FROM counts GROUP BY word"
 WORD_TOTALS = "SELECT word, count(*) AS total FROM tokens GROUP BY word"
 # The registered indexes put 150 entries to a block.
 DIGEST = "CAST('0x' || substr(md5({0}), 1, 8) AS BIGINT)"
+# As many blocks as the smallest power of two that suffices.
+BLOCKS = "CAST(pow(2, ceil(log2(ceil({0} / 150)))) AS BIGINT)"
 POSTINGS = (
-    ", blocked AS (SELECT *, CAST(ceil(df / 150) AS BIGINT) AS blocks FROM weights),"
+    f", blocked AS (SELECT *, {BLOCKS.format('df')} AS blocks FROM weights),"
     f" dealt AS (SELECT *, {DIGEST.format('document')} % blocks AS block FROM blocked)"
     " SELECT word, df, block, blocks, string_agg("
     "document || ':' || word_count || '/' || doc_size, ',' ORDER BY document) AS postings"
@@ -100,8 +102,8 @@ WHOLE_POSTINGS = (
     " FROM dealt GROUP BY word, df, block, blocks"
 )
 FORWARD = (
-    ", blocked AS (SELECT *, CAST(ceil(count(*) OVER (PARTITION BY document) / 150) AS BIGINT)"
-    " AS blocks FROM weights),"
+    ", counted AS (SELECT *, count(*) OVER (PARTITION BY document) AS words FROM weights),"
+    f" blocked AS (SELECT *, {BLOCKS.format('words')} AS blocks FROM counted),"
     f" dealt AS (SELECT *, {DIGEST.format('word')} % blocks AS block FROM blocked)"
     " SELECT document, doc_size, block, blocks,"
     " string_agg(word || '=' || word_count, ' ' ORDER BY word) AS words"
@@ -115,6 +117,14 @@ def _named_sizes() -> str:
     return _tokens(f"SELECT {name} AS document, text FROM documents", _whitespace("text")) + DOC_SIZES
 
 
+def _headed_words() -> str:
+    """Words of the numbered files, each headed by white space."""
+    name = "'part-' || lpad(CAST(doc_id % 64 AS VARCHAR), 5, '0')"
+    words = _tokens(f"SELECT {name} AS document, text FROM documents", _whitespace("text"))
+    every = "SELECT DISTINCT document, '' AS word FROM corpus UNION ALL SELECT document, word FROM tokens"
+    return words + f" SELECT document, word, count(*) AS word_count FROM ({every}) GROUP BY document, word"
+
+
 ORACLES = {
     "corpus": DOCUMENTS,
     "num_docs": "SELECT count(*) AS num_docs FROM documents",
@@ -144,6 +154,7 @@ ORACLES = {
     "tfidf_benchmark": _weights(BENCHMARK, _whitespace("text")) + WIDE,
     "postings": CLEAN + POSTINGS,
     "postings_expand": CLEAN + "SELECT word, document, num_docs, df FROM pairs",
+    "postings_split": CLEAN + POSTINGS,
     "postings_whole": CLEAN + WHOLE_POSTINGS,
     "forward_index": CLEAN + FORWARD,
     "forward_index_merged": CLEAN + FORWARD,
@@ -158,6 +169,10 @@ ORACLES = {
     + "SELECT document || '@' || word || chr(9) || printf('%.10f', tfidf) AS line FROM weights",
     "tf_stored": CLEAN + TF,
     "text_lines_named": _named_sizes(),
+    "text_folder_written_twice": CLEAN + WORD_TOTALS,
+    "text_lines_java_ws": _headed_words(),
+    "tf_report_shortest": CLEAN
+    + "SELECT word || '@' || document AS key, CAST(1000 * word_count / doc_size AS VARCHAR) AS value FROM pairs",
     "text_files_word_totals": CLEAN + WORD_TOTALS,
     "text_lines_word_totals": CLEAN + WORD_TOTALS,
 }

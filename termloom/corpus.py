@@ -5,6 +5,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from termloom.functions.tokenize import WHITESPACE
+
+
+def _named(rows: DataFrame) -> DataFrame:
+    return rows.select(F.coalesce("document", F.lit("")).alias("document"), "text")
+
 
 @dataclass(frozen=True)
 class Corpus:
@@ -17,6 +23,10 @@ class Corpus:
     ``rows_are_lines``: each row is one line of a file, so an empty text is a
     blank line rather than an empty document.
 
+    ``leading``: of rows that are lines, a row with an empty text for each file whose text
+    is empty or has white space before its first word. The words that ``java_ws`` finds there
+    belong to no line.
+
     ``names``: the names of all documents, repeats allowed, where they are known
     without reading the texts.
 
@@ -28,6 +38,7 @@ class Corpus:
     one_row_per_document: bool = False
     rows_are_lines: bool = False
     names: DataFrame | None = None
+    leading: DataFrame | None = None
 
     def __post_init__(self):
         missing = {"document", "text"} - set(self.rows.columns)
@@ -49,4 +60,18 @@ class Corpus:
         Besides its meaning this spares the optimizer from filtering NULLs in
         just some uses of the rows, which would keep shuffles from being reused.
         """
-        return self.rows.select(F.coalesce("document", F.lit("")).alias("document"), "text")
+        return _named(self.rows)
+
+    def texts_for(self, mode: str) -> tuple[DataFrame, bool]:
+        """The rows as ``mode`` takes them, and if each is a line of a text.
+
+        Lines have the words of ``java_ws`` as texts of their own, less the empty words that
+        white space before the first word of each would give.
+        """
+        if mode != "java_ws" or not self.rows_are_lines:
+            return self.texts, self.rows_are_lines
+        if self.leading is None:
+            raise ValueError("mode java_ws needs whole texts, or lines whose place in their file is known")
+        bare = F.ltrim("text", F.lit(WHITESPACE))
+        lines = self.texts.withColumn("text", F.when(bare != "", bare))
+        return lines.unionByName(_named(self.leading)), False

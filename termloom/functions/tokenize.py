@@ -21,7 +21,9 @@ WHITESPACE = " \t\n\x0b\f\r"
 WHITESPACE_RUN = r"[ \t\n\x0B\f\r]+"
 LINE_END = r"\r\n|\n|\r"
 LAST_LINE_END = r"(\r\n|\n|\r)\z"
-TRIMMED = "".join(chr(c) for c in range(0x21))  # U+0000 to U+0020
+# What is trimmed off words: U+0000 to U+0020, which in a word can only be these.
+CONTROLS = r"[\x00-\x08\x0E-\x1F]+"
+EDGE_CONTROLS = rf"{CONTROLS}(?![^ ])|(?<![^ ]){CONTROLS}"
 
 MODES = ("whitespace", "java_ws", "single_space")
 
@@ -49,11 +51,15 @@ def words(text: Column, mode: str = "whitespace", text_is_line: bool = False) ->
         return F.array_remove(F.split(F.coalesce(text, F.lit("")), WHITESPACE_RUN), "")
     if mode == "java_ws":
         if text_is_line:
-            # Only the first line of a file may begin with the empty word, and a
-            # line does not know whether it is the first.
+            # Only the first line of a file may begin with the empty word: Corpus.texts_for
+            # gives lines as texts without it.
             raise ValueError("mode java_ws needs whole texts, not lines of files")
-        split = _split_dropping_last_empties(text, WHITESPACE_RUN, WHITESPACE)
-        found = F.transform(split, lambda w: F.btrim(w, F.lit(TRIMMED)))
+        # White space becomes single spaces, then control characters at a word's edge go: one
+        # of nothing else becomes the empty word between two spaces. No lambda for each word,
+        # so all of it is generated code.
+        spaced = F.regexp_replace(F.rtrim(text, F.lit(WHITESPACE)), WHITESPACE_RUN, " ")
+        trimmed = F.split(F.regexp_replace(spaced, EDGE_CONTROLS, ""), " ")
+        found = F.when((text != "") & (spaced == ""), _no_words()).otherwise(trimmed)
     elif mode == "single_space":
         if text_is_line:
             found = _split_dropping_last_empties(text, " ", " ")

@@ -52,6 +52,15 @@ def with_doc_freqs(
     would put all documents of a common word into one task. Here the totals
     come from a pre-aggregated pass, and the join splits common words.
     """
+    return _with_doc_freqs(corpus, mode, split_rows, frequencies).select(
+        "document", "word", "word_count", "doc_size", "df"
+    )
+
+
+def _with_doc_freqs(
+    corpus: Corpus, mode: str, split_rows: int, frequencies: DataFrame | None = None
+) -> DataFrame:
+    """As :func:`with_doc_freqs`, with the columns of :func:`join_split` by which the rows lie."""
     return join_split(
         term_counts(corpus, mode, split_rows),
         doc_freqs(corpus, mode) if frequencies is None else frequencies,
@@ -59,4 +68,5 @@ def with_doc_freqs(
         weight="df",
         spread="document",
         split_rows=split_rows,
-    ).select("document", "word", "word_count", "doc_size", "df")
+        keep_pieces=True,
+    )

@@ -4,9 +4,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from termloom.corpus import Corpus
-from termloom.functions.counting import word_runs
+from termloom.functions.counting import _bind, word_runs
 from termloom.operators.document_frequency import doc_freqs
-from termloom.operators.split_join import SPLIT_ROWS, join_split
+from termloom.operators.split_join import SPLIT_ROWS, join_split, power_of_two
 from termloom.operators.terms import _row_size, _row_words, num_docs, term_counts, word_counts
 
 # Entries to a list. A list with more is stored as several blocks.
@@ -23,7 +23,12 @@ def _digest(entry: Column) -> Column:
 
 
 def _blocks(entries: Column, block_rows: int) -> Column:
-    return F.ceil(entries / block_rows)
+    """How many blocks a list of so many entries has: a power of two.
+
+    The join deals a long list into pieces by the same digest, and their number is a power of
+    two as well, no greater than that of the blocks: so a block is always in one piece.
+    """
+    return power_of_two(F.ceil(entries / block_rows))
 
 
 def postings(
@@ -36,12 +41,11 @@ def postings(
 
     ``postings`` is ARRAY<STRUCT<document, word_count, doc_size>> in document
     order. The list of a word in more than ``block_rows`` documents is dealt
-    over ``blocks`` rows of about that length, so that no word needs its whole
-    list in one task; together they are the whole list. A word that the join deals
-    into more pieces than that has as many blocks as pieces, or a multiple.
+    over ``blocks`` rows of at most about that length, so that no word needs its whole
+    list in one task; together they are the whole list. The blocks follow from ``df``
+    and ``block_rows`` alone, and ``split_rows`` only says how the work is spread.
     """
-    # The join deals a common word into pieces, by the same digest. With a whole number
-    # of blocks to a piece the lists are made where the join has put the entries.
+    # The lists are made where the join has put the entries.
     pairs = join_split(
         term_counts(corpus, mode, split_rows),
         doc_freqs(corpus, mode),
@@ -49,11 +53,11 @@ def postings(
         weight="df",
         spread=_digest(F.col("document")),
         split_rows=split_rows,
+        most_pieces=_blocks(F.col("df"), block_rows),
         keep_pieces=True,
     )
-    pieces = F.col("_pieces")
     return (
-        pairs.withColumn("blocks", pieces * F.ceil(_blocks(F.col("df"), block_rows) / pieces))
+        pairs.withColumn("blocks", _blocks(F.col("df"), block_rows))
         .withColumn("block", _block(F.col("document"), F.col("blocks")))
         .groupBy("word", "_piece", "df", "block", "blocks")
         .agg(
@@ -73,28 +77,57 @@ def expand_postings(index: DataFrame, corpus: Corpus) -> DataFrame:
 
 
 def _entry_blocks(corpus: Corpus, mode: str, block_rows: int) -> DataFrame:
-    """The forward index of documents that are one row each, made inside the rows."""
+    """The forward index of documents that are one row each, made inside the rows.
+
+    Entries of a long list are sorted by block, and each run of them becomes a list: every
+    entry is copied once, however many blocks there are.
+    """
     rows = _row_words(corpus, mode).select(
         "document", _row_size().alias("doc_size"), word_runs(F.col("words")).alias("entries")
     )
-    numbered = rows.withColumn("blocks", _blocks(F.size("entries"), block_rows)).select(
-        "document",
-        "doc_size",
-        "blocks",
-        F.transform(
-            "entries",
-            lambda e: F.struct(_block(e["word"], F.col("blocks")).alias("block"), e.alias("entry")),
-        ).alias("dealt"),
+    blocks = _blocks(F.size("entries"), block_rows)
+
+    def cut(dealt: Column) -> Column:
+        starts = F.array_compact(
+            F.transform(
+                dealt,
+                lambda d, i: F.when((i == 0) | (d["block"] != F.get(dealt, i - 1)["block"]), i),
+            )
+        )
+        return _bind(
+            starts,
+            lambda at: F.transform(
+                at,
+                lambda p, k: F.struct(
+                    F.get(dealt, p)["block"].alias("block"),
+                    F.transform(
+                        F.slice(dealt, p + 1, F.coalesce(F.get(at, k + 1), F.size(dealt)) - p),
+                        lambda d: F.struct(d["word"].alias("word"), d["word_count"].alias("word_count")),
+                    ).alias("words"),
+                ),
+            ),
+        )
+
+    dealt = F.transform(
+        "entries",
+        lambda e: F.struct(
+            F.pmod(_digest(e["word"]), F.col("blocks")).alias("block"), e["word"].alias("word"), e["word_count"].alias("word_count")
+        ),
     )
-    # Only blocks that have an entry, so that nothing need be filtered afterwards.
-    each = numbered.select("*", F.explode_outer(F.array_distinct("dealt.block")).alias("block"))
-    of_block = F.filter("dealt", lambda d: d["block"] == F.col("block"))
-    return each.where(F.col("block").isNotNull()).select(
-        "document",
-        "doc_size",
-        "block",
-        "blocks",
-        F.transform(of_block, lambda d: d["entry"]).alias("words"),
+    whole = F.array(F.struct(F.lit(0).cast("bigint").alias("block"), F.col("entries").alias("words")))
+    lists = F.when(F.col("blocks") > 1, _bind(F.sort_array(dealt), cut)).otherwise(whole)
+    # Documents without words have no list. explode_outer keeps the words from being split
+    # again in a filter for empty arrays.
+    return (
+        rows.withColumn("blocks", blocks)
+        .select(
+            "document",
+            "doc_size",
+            "blocks",
+            F.explode_outer(F.when(F.size("entries") > 0, lists)).alias("of"),
+        )
+        .where(F.col("of").isNotNull())
+        .select("document", "doc_size", F.col("of.block").alias("block"), "blocks", F.col("of.words").alias("words"))
     )
 
 
@@ -107,8 +140,8 @@ def forward_index(
     """``document, doc_size, block, blocks, words``: the words of each document.
 
     ``words`` is ARRAY<STRUCT<word, word_count>> in word order. The distinct words
-    of a document are dealt over one block for every ``block_rows`` of them, by a
-    digest of the word; a block that gets no word has no row. Documents of one row
+    of a document are dealt over so many blocks, a power of two, that each has about
+    ``block_rows`` at most, by a digest of the word; a block that gets no word has no row. Documents of one row
     and of many have the same index. Documents without words have none.
     """
     if corpus.one_row_per_document:
@@ -120,12 +153,22 @@ def forward_index(
         .groupBy("document")
         .agg(F.sum("word_count").alias("doc_size"), F.count("*").alias("distinct"))
     )
+    blocks = _blocks(F.col("distinct"), block_rows)
+    # The lists are made where the join has put the entries.
     return (
         join_split(
-            counts, totals, key="document", weight="distinct", spread="word", split_rows=split_rows
+            counts,
+            totals,
+            key="document",
+            weight="distinct",
+            spread=_digest(F.col("word")),
+            split_rows=split_rows,
+            most_pieces=blocks,
+            keep_pieces=True,
         )
-        .withColumn("blocks", _blocks(F.col("distinct"), block_rows))
+        .withColumn("blocks", blocks)
         .withColumn("block", _block(F.col("word"), F.col("blocks")))
-        .groupBy("document", "doc_size", "block", "blocks")
+        .groupBy("document", "_piece", "doc_size", "block", "blocks")
         .agg(F.sort_array(F.collect_list(F.struct("word", "word_count"))).alias("words"))
+        .select("document", "doc_size", "block", "blocks", "words")
     )

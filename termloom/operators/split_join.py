@@ -3,13 +3,19 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# At most this many keys are split, whatever the data. They travel in a
-# broadcast table of two numbers each, so its size is bounded: about 3 MB.
+# At most this many keys are split, whatever the data.
 MAX_SPLIT_KEYS = 200_000
 # Keys with fewer rows than this are never worth splitting.
 SPLIT_ROWS = 1_000_000
 
 
+def power_of_two(least: Column) -> Column:
+    """The smallest power of two that is at least ``least``, a whole number; as BIGINT."""
+    return F.when(least <= 1, F.lit(1).cast("bigint")).otherwise(
+        F.call_function("shiftleft", F.lit(1).cast("bigint"), F.length(F.bin(least - 1)))
+    )
+
+
 def join_split(
     rows: DataFrame,
     lookup: DataFrame,
@@ -17,6 +23,7 @@ def join_split(
     weight: str,
     spread: str | tuple[str, ...] | Column,
     split_rows: int = SPLIT_ROWS,
+    most_pieces: Column | None = None,
     keep_pieces: bool = False,
 ) -> DataFrame:
     """``rows`` joined with ``lookup`` on ``key``, no key being one task's work.
@@ -27,45 +34,43 @@ def join_split(
     ``1 / MAX_SPLIT_KEYS`` share of all the candidates' rows, so there can be no
     more than ``MAX_SPLIT_KEYS`` heavy keys. The rows of a heavy key are dealt
     over as many pieces as it takes to bring each one down to that share, by a
-    hash of the columns ``spread``, and its lookup row is copied to every piece. Copies add
-    at most ``2 * MAX_SPLIT_KEYS`` rows. Rows of other keys are in piece 0.
+    hash of the columns ``spread``, and its lookup row is copied to every piece. The number
+    of pieces is a power of two, so copies add at most ``4 * MAX_SPLIT_KEYS`` rows. Rows of
+    other keys are in piece 0.
 
-    Keys are recognised as heavy by their hash, so that long keys cost nothing
-    in the broadcast table. A light key that shares a heavy one's hash is split
-    as well, on both sides alike: the join itself compares the keys.
+    The heavy keys travel in a broadcast table. A key of n bytes in it stands for more than
+    ``split_rows`` rows that hold them too, so their bytes are no more than those of the
+    rows divided by ``split_rows``.
 
+    ``most_pieces``, a power of two from columns of ``lookup``, bounds the pieces of a key.
     With ``keep_pieces`` the columns ``_piece`` and ``_pieces`` stay. The joined rows lie by
     key and piece, so grouping by both, and by whatever refines them, needs no
-    shuffle. ``spread`` may be a whole number to deal by, instead of columns to hash.
+    shuffle. ``spread`` may be a whole number to deal by, instead of columns to hash; it is
+    worked out for the rows of heavy keys only.
 
     The pieces follow from the data alone, so a recomputed task makes the same
     ones.
     """
-    candidates = (
-        lookup.where(F.col(weight) > split_rows)
-        .groupBy(F.xxhash64(key).alias("_hash"))
-        .agg(F.sum(weight).alias("_weight"))
-    )
+    candidates = lookup.where(F.col(weight) > split_rows)
     share = candidates.agg(
-        F.greatest(F.sum("_weight") / MAX_SPLIT_KEYS, F.lit(float(split_rows)))
+        F.greatest(F.sum(weight) / MAX_SPLIT_KEYS, F.lit(float(split_rows)))
     ).scalar()
-    heavy = candidates.select(
-        "_hash", F.ceil(F.col("_weight") / share).alias("_pieces")
-    ).where(F.col("_pieces") > 1)
+    pieces = power_of_two(F.ceil(F.col(weight) / share))
+    if most_pieces is not None:
+        pieces = F.least(pieces, most_pieces)
+    heavy = candidates.select(key, pieces.alias("_pieces")).where(F.col("_pieces") > 1)
     one = F.lit(1).cast("bigint")
 
     def with_pieces(side: DataFrame) -> DataFrame:
-        return (
-            side.withColumn("_hash", F.xxhash64(key))
-            .join(F.broadcast(heavy), "_hash", "left")
-            .withColumn("_pieces", F.coalesce("_pieces", one))
-            .drop("_hash")
+        return side.join(F.broadcast(heavy), key, "left").withColumn(
+            "_pieces", F.coalesce("_pieces", one)
         )
 
     if isinstance(spread, str):
         spread = (spread,)
     number = spread if isinstance(spread, Column) else F.xxhash64(*spread)
-    dealt = with_pieces(rows).withColumn("_piece", F.pmod(number, F.col("_pieces")))
+    piece = F.when(F.col("_pieces") > 1, F.pmod(number, F.col("_pieces"))).otherwise(one - 1)
+    dealt = with_pieces(rows).withColumn("_piece", piece)
     copied = with_pieces(lookup).withColumn(
         "_piece", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_pieces") - 1))
     )

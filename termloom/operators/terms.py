@@ -10,8 +10,8 @@ from termloom.operators.split_join import SPLIT_ROWS, join_split
 
 
 def _row_words(corpus: Corpus, mode: str) -> DataFrame:
-    found = words(F.col("text"), mode, corpus.rows_are_lines)
-    return corpus.texts.select("document", found.alias("words"))
+    texts, are_lines = corpus.texts_for(mode)
+    return texts.select("document", words(F.col("text"), mode, are_lines).alias("words"))
 
 
 def _row_size() -> Column:

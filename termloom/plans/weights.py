@@ -1,14 +1,15 @@
 """Term weights of a whole corpus."""
 
-from pyspark.sql import DataFrame
+from dataclasses import replace
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from termloom.corpus import Corpus
 from termloom.functions import weights
-from termloom.operators.document_frequency import doc_freqs, with_doc_freqs
+from termloom.operators.document_frequency import _with_doc_freqs, doc_freqs, with_doc_freqs
 from termloom.operators.split_join import SPLIT_ROWS
 from termloom.operators.terms import num_docs, term_counts
-from termloom.session import durable
 
 # Largest vocabulary that is broadcast, in words and in bytes of words.
 BROADCAST_WORDS = 2_000_000
@@ -64,6 +65,12 @@ def tfidf(
     return _weigh(with_doc_freqs(corpus, mode, split_rows, frequencies), corpus, mode)
 
 
+def _gated(rows: DataFrame, column: str, gate: DataFrame) -> DataFrame:
+    """All of ``rows``, if ``gate`` has a row, else none; ``column`` is never NULL."""
+    keyed = rows.withColumn("_gate", F.pmod(F.length(column), F.lit(1)))
+    return keyed.join(F.broadcast(gate), "_gate", "left_semi").drop("_gate")
+
+
 def tfidf_broadcast(
     corpus: Corpus,
     mode: str = "whitespace",
@@ -72,18 +79,31 @@ def tfidf_broadcast(
 ) -> DataFrame:
     """As :func:`tfidf`, giving every task the whole vocabulary if it is small.
 
-    The document frequencies are computed at once and stored in the shared
-    folder. If they are measured to be too many to broadcast, the pairs are
-    joined as in :func:`tfidf`. Then no shuffle but that of the vocabulary is
-    left, where a document is one row.
+    The plan has both joins, each behind a gate: a relation of one row or none, from the
+    number and the bytes of the words as they are counted. Adaptive execution sends the
+    gates first and drops what is behind the empty one, before any text is read for it.
+    Nothing runs, and nothing is stored, when the plan is built. Where the vocabulary
+    is small no shuffle but its own is left, if a document is one row.
     """
-    frequencies = durable(doc_freqs(corpus, mode))
-    words, size = frequencies.agg(
-        F.count("*"), F.coalesce(F.sum(F.octet_length("word")), F.lit(0))
-    ).first()
-    if words > max_words or size > max_bytes:
-        return tfidf(corpus, mode, frequencies=frequencies)
-    return _weigh(term_counts(corpus, mode).join(F.broadcast(frequencies), "word"), corpus, mode)
+    frequencies = doc_freqs(corpus, mode)
+    size = frequencies.agg(
+        F.count("*").alias("words"),
+        F.coalesce(F.sum(F.octet_length("word")), F.lit(0)).alias("bytes"),
+    )
+    small = (F.col("words") <= max_words) & (F.col("bytes") <= max_bytes)
+    # Keys of which the optimizer does not know that they are 0 in every row.
+    key = F.pmod(F.col("words"), F.lit(1)).cast("int").alias("_gate")
+
+    def behind(condition: Column) -> Corpus:
+        gate = size.where(condition).select(key)
+        leading = None if corpus.leading is None else _gated(corpus.leading, "document", gate)
+        return replace(corpus, rows=_gated(corpus.texts, "document", gate), leading=leading)
+
+    gate = size.where(small).select(key)
+    sent = term_counts(behind(small), mode).join(F.broadcast(_gated(frequencies, "word", gate)), "word")
+    shuffled = with_doc_freqs(behind(~small), mode, frequencies=frequencies)
+    columns = "document", "word", "word_count", "doc_size", "df"
+    return _weigh(sent.select(*columns).unionByName(shuffled.select(*columns)), corpus, mode)
 
 
 def tfidf_union(
@@ -92,21 +112,21 @@ def tfidf_union(
     """``document, word, tfidf`` from two relations laid over each other.
 
     One has the tf of each pair, the other its idf. Their union is grouped by
-    pair, which brings exactly one of each together.
+    pair, which brings exactly one of each together. Both are taken from the pairs as the
+    join with the totals leaves them, dealt by word, and so are grouped where they lie.
     """
-    totals = with_doc_freqs(corpus, mode, split_rows).select(
-        "document", "word", num_docs(corpus, mode).scalar().alias("num_docs"), "df"
-    )
+    totals = _with_doc_freqs(corpus, mode, split_rows)
+    key = "word", "_piece", "document"
     unknown = F.lit(None).cast("double")
-    with_tf = tf(corpus, mode, split_rows).select("document", "word", "tf", unknown.alias("idf"))
-    with_idf = totals.select(
-        "document",
-        "word",
-        unknown.alias("tf"),
-        weights.idf(F.col("num_docs"), F.col("df")).alias("idf"),
+    with_tf = totals.select(
+        *key, weights.tf(F.col("word_count"), F.col("doc_size")).alias("tf"), unknown.alias("idf")
+    )
+    with_idf = totals.select(*key, num_docs(corpus, mode).scalar().alias("num_docs"), "df").select(
+        *key, unknown.alias("tf"), weights.idf(F.col("num_docs"), F.col("df")).alias("idf")
     )
     return (
         with_tf.unionByName(with_idf)
-        .groupBy("document", "word")
+        .groupBy(*key)
         .agg((F.max("tf") * F.max("idf")).alias("tfidf"))
+        .select("document", "word", "tfidf")
     )

@@ -2,6 +2,9 @@
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,8 +20,14 @@ SETTINGS = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "10m",
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
+    # What durable() wrote goes when nothing can read it any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
+# Of each application, the folder of its scratch relations; and those that scratch() owns.
+_FOLDERS: dict[str, str] = {}
+_OWNED: ContextVar[list[str] | None] = ContextVar("owned", default=None)
+
 
 def build_session(app_name: str = "termloom", **settings: str) -> SparkSession:
     """A session with the recommended settings; master and sizes come from spark-submit."""
@@ -44,9 +53,50 @@ def shared_folder(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="termloom-")
 
 
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """This application's folder below the shared one; it goes when the application ends."""
+    context = spark.sparkContext
+    if context.applicationId not in _FOLDERS:
+        folder = f"{shared_folder(spark).rstrip('/')}/termloom-{uuid.uuid4().hex}"
+        files, place = _file_system(spark, folder)
+        files.mkdirs(place)
+        files.deleteOnExit(place)
+        _FOLDERS[context.applicationId] = folder
+    return _FOLDERS[context.applicationId]
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new path for a relation that is needed for a while.
+
+    It belongs to the innermost :func:`scratch` around the call, else to the application.
+    """
+    path = f"{scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    owned = _OWNED.get()
+    if owned is not None:
+        owned.append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Owner of the scratch relations made inside: they are removed at its end.
+
+    What is computed from them must be read or written inside, too.
+    """
+    made: list[str] = []
+    before = _OWNED.set(made)
+    try:
+        yield
+    finally:
+        _OWNED.reset(before)
+        for path in made:
+            files, place = _file_system(spark, path)
+            files.delete(place, True)
 
 
 def durable(relation: DataFrame) -> DataFrame:

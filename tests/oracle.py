@@ -65,7 +65,7 @@ if __name__ == "__main__":
     con = connect(sf_dir)
     failed = 0
     for name, query in queries().items():
-        if names and name not in names:
+        if names and name not in names or name not in oracle_sql():
             continue
         start = time.time()
         problem = compare(spark, con, query, oracle_sql()[name], sf_dir)

@@ -2,14 +2,18 @@ import os
 
 import pytest
 
-from termloom import operators, plans
+import __spark_entry__ as entries
+from termloom import Corpus, operators, plans
 from termloom.functions import render
-from termloom.session import durable, scratch_path
+from termloom.session import _file_system, durable, scratch, scratch_folder, scratch_path
 from termloom.sinks import store, write_report
 from termloom.sources import table_corpus, text_files, text_lines
 from tests.samples import SAMPLE, SAMPLE_WEIGHTS, corpus, weights
 
 
+SF = "/root/testdata/sf0.001"
+
+
 @pytest.fixture
 def folder(tmp_path):
     files = {
@@ -142,12 +146,58 @@ def test_same_names_in_partition_directories_are_one_document(spark, tmp_path):
         assert operators.num_docs(c).first()[0] == 1
 
 
-def test_modes_agree_between_files_and_lines_or_are_refused(spark, tmp_path):
-    (tmp_path / "a").write_text("a\n\n b  c\n")
-    (tmp_path / "empty").touch()
-    for mode in ("whitespace", "single_space"):
-        whole = operators.doc_sizes(text_files(spark, str(tmp_path)), mode)
-        lines = operators.doc_sizes(text_lines(spark, str(tmp_path)), mode)
-        assert sorted(whole.collect()) == sorted(lines.collect())
+TEXTS = [
+    "a\n\n b  c\n", "", " ", "\n", "\n\n  \t\n", " a", "\na", "\n\n\n b\n", "a\n b", "\x01\n\x01a \x01", "a\r\n\r\n b\r", "\r\nx",
+    "\x0bx\n", "word " * 40 + "\n" + " y" * 40, "\n" * 50 + "late\n", " " * 60, "x\u00a0y\n\u00a0",
+]
+
+
+@pytest.mark.parametrize("split_bytes", ["128m", "16"])
+def test_modes_agree_between_files_and_lines(spark, tmp_path, split_bytes):
+    for i, text in enumerate(TEXTS):
+        (tmp_path / f"f{i}").write_bytes(text.encode())
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
+    try:
+        for mode in ("whitespace", "single_space", "java_ws"):
+            whole, lines = text_files(spark, str(tmp_path)), text_lines(spark, str(tmp_path))
+            for of in (operators.doc_sizes, operators.term_counts, operators.num_docs):
+                assert sorted(of(whole, mode).collect()) == sorted(of(lines, mode).collect()), mode
+        weighed = [sorted(plans.tfidf_broadcast(c, "java_ws").collect()) for c in (whole, lines)]
+        assert weighed[0] == weighed[1]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_java_ws_needs_the_places_of_lines(spark):
+    lines = Corpus(corpus(spark, SAMPLE).rows, rows_are_lines=True)
     with pytest.raises(ValueError, match="java_ws"):
-        operators.doc_sizes(text_lines(spark, str(tmp_path)), "java_ws")
+        operators.doc_sizes(lines, "java_ws")
+
+
+def test_only_names_of_empty_files_become_rows_of_the_plan(spark, folder):
+    for c in (text_files(spark, folder), text_lines(spark, folder)):
+        plan = plans.tfidf(c)._jdf.queryExecution().toString()
+        assert "LeftAnti" not in plan and "empty" in plan
+        assert "doc1" not in plan.split("== Physical Plan ==")[1].replace(folder, "")
+
+
+def test_scratch_relations_have_an_owner(spark):
+    def left():
+        files, place = _file_system(spark, scratch_folder(spark))
+        return len(files.listStatus(place))
+
+    before = left()
+    for name in ("report_lines", "tf_stored", "text_lines_named", "text_files_word_totals", "text_lines_word_totals"):
+        with scratch(spark):
+            assert entries.queries()[name](spark, SF).count() > 0
+            assert left() > before
+        assert left() == before
+    with scratch(spark):
+        kept = scratch_path(spark, "outer")
+        with scratch(spark):
+            inner = store(spark.range(3), scratch_path(spark, "inner"))
+            assert inner.count() == 3
+        store(spark.range(2), kept)
+        assert left() == before + 1
+    assert left() == before

@@ -59,7 +59,7 @@ def test_no_query_runs_python_or_pairs_rows(spark, name):
     plan = initial_plan(entries.queries()[name](spark, SF))
     for operator in ("Python", "Arrow", "CartesianProduct", "BroadcastNestedLoopJoin", "Window"):
         assert operator not in plan
-    assert "Scan ExistingRDD" not in plan or name == "tfidf_broadcast"
+    assert "Scan ExistingRDD" not in plan
 
 
 def test_text_folders_need_no_python_and_two_readings(spark, tmp_path):
@@ -104,7 +104,7 @@ def test_measured_sizes_choose_the_join(spark, limit, join):
     with settings(spark, spark__sql__adaptive__maxShuffledHashJoinLocalMapThreshold=limit, **both):
         plan = final_plan(plans.tfidf(entries.documents(spark, SF), split_rows=20))
     assert re.search(join + r" \[word", plan)
-    assert "BroadcastHashJoin [word" not in plan
+    assert not re.search(r"BroadcastHashJoin \[word#\d+, _piece", plan)
 
 
 def test_merged_documents_share_one_aggregation(spark):
@@ -116,6 +116,24 @@ def test_merged_documents_share_one_aggregation(spark):
     assert text_scans(plan) <= 2
 
 
+@pytest.mark.parametrize("query, shuffles", [(plans.tf, 2), (plans.tfidf, 3), (operators.forward_index, 2)])
+def test_pairs_of_merged_documents_are_shuffled_so_often(spark, query, shuffles):
+    rows = spark.read.parquet(f"{SF}/conversations.parquet")
+    corpus = Corpus(rows.select(F.col("conv_id").cast("string").alias("document"), "text"))
+    with settings(spark, spark__sql__adaptive__autoBroadcastJoinThreshold="-1"):
+        plan = final_plan(query(corpus, split_rows=20))
+    # Those that carry a pair have both its columns; the others are of texts, sizes and totals.
+    moved = re.findall(r"(?<!ReusedExchange )Exchange hashpartitioning[^\n]*\n[^\n]*", plan)
+    pairs = [m for m in moved if "document#" in m.split("\n")[1] and "word#" in m.split("\n")[1]]
+    assert len(pairs) == shuffles, pairs
+
+
+def test_union_groups_the_pairs_where_they_lie(spark):
+    with settings(spark, spark__sql__adaptive__autoBroadcastJoinThreshold="-1"):
+        plan = final_plan(plans.tfidf_union(entries.documents(spark, SF), split_rows=20))
+    assert not re.search(r"hashpartitioning\([^)]*document", plan)
+
+
 def test_postings_shuffle_the_pairs_once(spark):
     """The lists are made where the join has put the entries."""
     with settings(spark, spark__sql__adaptive__autoBroadcastJoinThreshold="-1"):
@@ -125,15 +143,29 @@ def test_postings_shuffle_the_pairs_once(spark):
 
 
 def test_small_vocabulary_is_broadcast_without_a_shuffle_of_pairs(spark):
-    plan = initial_plan(plans.tfidf_broadcast(entries.documents(spark, SF)))
+    plan = final_plan(plans.tfidf_broadcast(entries.documents(spark, SF)))
     assert "BroadcastHashJoin [word" in plan
-    assert shuffles_by_key(plan) == []
+    assert not [s for s in shuffles_by_key(plan) if "_piece" in s]
 
 
 def test_large_vocabulary_is_not_broadcast(spark):
-    plan = initial_plan(plans.tfidf_broadcast(entries.documents(spark, SF), max_bytes=10))
-    assert "BroadcastHashJoin [word" not in plan
-    assert "SortMergeJoin [word" in plan
+    with settings(spark, spark__sql__adaptive__autoBroadcastJoinThreshold="-1"):
+        frame = plans.tfidf_broadcast(entries.documents(spark, SF), max_bytes=10)
+        plan = final_plan(frame)
+    assert re.search(r"(ShuffledHash|SortMerge)Join [^\n]*word#\d+, _piece", plan)
+    # The join with a whole vocabulary is by the word alone, and that of heavy words is an outer one.
+    assert not re.search(r"BroadcastHashJoin \[word#\d+\], \[word#\d+\], Inner", plan)
+
+
+def test_nothing_runs_when_the_broadcast_form_is_built(spark):
+    corpus = entries.documents(spark, SF)
+    before = spark.sparkContext._jsc.sc().dagScheduler().nextJobId()
+    frame = plans.tfidf_broadcast(corpus)
+    assert spark.sparkContext._jsc.sc().dagScheduler().nextJobId() == before
+    want = sorted(plans.tfidf(corpus).collect())
+    assert sorted(frame.collect()) == want
+    for limits in ({"max_words": 5}, {"max_bytes": 5}):
+        assert sorted(plans.tfidf_broadcast(corpus, **limits).collect()) == want
 
 
 def test_reports_are_sorted_by_ranges(spark):

@@ -82,7 +82,7 @@ def test_posting_blocks_make_up_the_list(spark, block_rows):
     index = operators.postings(c, block_rows=block_rows, split_rows=5)
     lists = {}
     for r in index.collect():
-        assert 0 <= r.block < r.blocks >= -(-r.df // block_rows)
+        assert 0 <= r.block < r.blocks == 1 << (-(-r.df // block_rows) - 1).bit_length()
         names = [p.document for p in r.postings]
         assert names == sorted(names)
         lists.setdefault(r.word, []).extend(names)
@@ -94,12 +94,33 @@ def test_posting_blocks_make_up_the_list(spark, block_rows):
     assert {(r.num_docs, r.df) for r in expanded.collect()} == {(40, 40), (40, 10)}
 
 
+@pytest.mark.parametrize("block_rows", [1, 7, 20, 1000])
+def test_blocks_do_not_depend_on_how_the_work_is_split(spark, block_rows):
+    c = corpus(spark, {f"d{i}": "a every " + f"w{i % 4}" for i in range(40)})
+    whole = sorted(operators.postings(c, block_rows=block_rows).collect())
+    for split_rows in (1, 3, 5, 10, 39):
+        index = operators.postings(c, block_rows=block_rows, split_rows=split_rows)
+        assert sorted(index.collect()) == whole
+    lines = corpus(spark, [("p", f"w{i}") for i in range(40)] + [("q", "x y")])
+    whole = sorted(operators.forward_index(lines, block_rows=block_rows).collect())
+    for split_rows in (1, 3, 39):
+        index = operators.forward_index(lines, block_rows=block_rows, split_rows=split_rows)
+        assert sorted(index.collect()) == whole
+
+
+def test_powers_of_two(spark):
+    rows = spark.range(0, 70).union(spark.createDataFrame([(2**40,), (2**40 + 1,)], "id bigint"))
+    for n, made in rows.select("id", split_join.power_of_two(F.col("id"))).collect():
+        assert made == 1 << max(n - 1, 0).bit_length()
+
+
 @pytest.mark.parametrize("block_rows", [2, 1000])
 def test_forward_index_of_many_rows(spark, block_rows):
     texts = [("p", "a b a"), ("p", "c a"), ("q", "b"), ("r", "")]
     found = {}
     for r in operators.forward_index(corpus(spark, texts), block_rows=block_rows).collect():
-        assert r.blocks == -(-{"p": 3, "q": 1}[r.document] // block_rows)  # of distinct words
+        distinct = {"p": 3, "q": 1}[r.document]
+        assert r.blocks == 1 << (-(-distinct // block_rows) - 1).bit_length()
         found.setdefault((r.document, r.doc_size), {}).update(
             {e.word: e.word_count for e in r.words}
         )
