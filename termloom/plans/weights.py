@@ -65,9 +65,9 @@ def tfidf(
     return _weigh(with_doc_freqs(corpus, mode, split_rows, frequencies), corpus, mode)
 
 
-def _gated(rows: DataFrame, column: str, gate: DataFrame) -> DataFrame:
-    """All of ``rows``, if ``gate`` has a row, else none; ``column`` is never NULL."""
-    keyed = rows.withColumn("_gate", F.pmod(F.length(column), F.lit(1)))
+def _gated(rows: DataFrame, number: Column, gate: DataFrame) -> DataFrame:
+    """All of ``rows``, if ``gate`` has a row, else none; ``number`` is whole and never NULL."""
+    keyed = rows.withColumn("_gate", F.pmod(number, F.lit(1)).cast("int"))
     return keyed.join(F.broadcast(gate), "_gate", "left_semi").drop("_gate")
 
 
@@ -96,11 +96,14 @@ def tfidf_broadcast(
 
     def behind(condition: Column) -> Corpus:
         gate = size.where(condition).select(key)
-        leading = None if corpus.leading is None else _gated(corpus.leading, "document", gate)
-        return replace(corpus, rows=_gated(corpus.texts, "document", gate), leading=leading)
+        leading = None if corpus.leading is None else _gated(corpus.leading, F.length("document"), gate)
+        return replace(corpus, rows=_gated(corpus.texts, F.length("document"), gate), leading=leading)
 
     gate = size.where(small).select(key)
-    sent = term_counts(behind(small), mode).join(F.broadcast(_gated(frequencies, "word", gate)), "word")
+    # By the number that the aggregation makes: a gate for the words would be moved below it, and
+    # the words would be counted once more.
+    vocabulary = F.broadcast(_gated(frequencies, F.col("df"), gate))
+    sent = term_counts(behind(small), mode).join(vocabulary, "word")
     shuffled = with_doc_freqs(behind(~small), mode, frequencies=frequencies)
     columns = "document", "word", "word_count", "doc_size", "df"
     return _weigh(sent.select(*columns).unionByName(shuffled.select(*columns)), corpus, mode)
@@ -118,12 +121,12 @@ def tfidf_union(
     totals = _with_doc_freqs(corpus, mode, split_rows)
     key = "word", "_piece", "document"
     unknown = F.lit(None).cast("double")
-    with_tf = totals.select(
-        *key, weights.tf(F.col("word_count"), F.col("doc_size")).alias("tf"), unknown.alias("idf")
-    )
-    with_idf = totals.select(*key, num_docs(corpus, mode).scalar().alias("num_docs"), "df").select(
-        *key, unknown.alias("tf"), weights.idf(F.col("num_docs"), F.col("df")).alias("idf")
-    )
+    # Each side asks for the other's numbers as well: both need the same rows of the join.
+    there = (F.col("word_count") >= 1) & (F.col("doc_size") >= 1) & (F.col("df") >= 1)
+    value_tf = weights.tf(F.col("word_count"), F.col("doc_size"))
+    value_idf = weights.idf(num_docs(corpus, mode).scalar(), F.col("df"))
+    with_tf = totals.select(*key, F.when(there, value_tf).alias("tf"), unknown.alias("idf"))
+    with_idf = totals.select(*key, unknown.alias("tf"), F.when(there, value_idf).alias("idf"))
     return (
         with_tf.unionByName(with_idf)
         .groupBy(*key)
