@@ -89,22 +89,33 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+class _Words(dict):
+    """Hashes of words that were met, from a cryptographic digest: no two words are known to share one."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        made = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+        if len(word) <= 64:
+            self[word] = made
+        return made
+
+
+_words = _Words()
+
+
 def shingles(text: str, words: int = WORDS) -> np.ndarray:
     """The set of the text, as sorted hashes."""
-    data = np.frombuffer(text.encode("utf-8", "surrogatepass").lower(), dtype=np.uint8)
-    space = np.concatenate([[True], (data == 32) | ((data >= 9) & (data <= 13)), [True]])
-    edges = np.flatnonzero(space[1:] != space[:-1])
-    starts, ends = edges[::2], edges[1::2]
-    if not len(starts):
+    # Of bytes, lower() changes A-Z alone, and split() cuts at the six white space characters.
+    found = text.encode("utf-8", "surrogatepass").lower().split()
+    if not found:
         return np.zeros(0, np.uint64)
-    up, down = _Powers.upto(len(data) + 1)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_LETTERS[data] * up[:-1], dtype=np.uint64)])
-    word = _mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    word = np.fromiter(map(_words.__getitem__, found), np.uint64, len(found))
     n = min(words, len(word))
     made = np.full(len(word) - n + 1, n, np.uint64)
     for i in range(n):
-        made = made * np.uint64(_BASE) + word[i : len(word) - n + 1 + i]
-    return np.unique(_mixed(made))
+        made = _mixed(made * np.uint64(_BASE) + word[i : len(word) - n + 1 + i])
+    return np.unique(made)
 
 
 def _digest(made: np.ndarray) -> bytes:

@@ -56,3 +56,10 @@ def test_search_finds_what_reaches_the_overlap():
                 found, common = index.search(query, least)
                 want = {i: len(np.intersect1d(query, s)) for i, s in enumerate(sets)}
                 assert dict(zip(found.tolist(), common.tolist())) == {i: n for i, n in want.items() if n >= least}
+
+
+def test_long_words_that_differ_in_a_regular_way_are_apart(spark):
+    """A word of two letters in the order of bit counts, and its complement."""
+    bits = [bin(i).count("1") % 2 for i in range(2048)]
+    rows = [(i, "".join(letters[b] for b in bits)) for i, letters in enumerate(("ab", "ba", "ab"))]
+    assert joined(spark, rows) == [(0, 1, 0), (1, 1, 1), (2, 1, 0)]
