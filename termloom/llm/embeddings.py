@@ -147,7 +147,7 @@ def _links(classes: DataFrame, size: int, threshold: float, strip_rows: int) ->
             made = _unit(batch.column(2), size) @ axes[:, 0] + JITTER * noise if batch.num_rows else np.zeros(0)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made)], names=["id", "copies", "embedding", "lead"])
 
-    placed = classes.select("id", "copies", "embedding").mapInArrow(lead, "id bigint, copies bigint, embedding array<float>, lead double")
+    placed = classes.select("id", "copies", "embedding").mapInArrow(lead, "id bigint, copies bigint, embedding array<double>, lead double")
     strips = -(-placed.count() // strip_rows)
     edges = sorted(placed.approxQuantile("lead", [k / strips for k in range(1, strips)], 1 / (8 * strips))) if strips > 1 else []
     lows, highs = np.array([-np.inf, *edges]), np.array([*edges, np.inf])
@@ -162,7 +162,7 @@ def _links(classes: DataFrame, size: int, threshold: float, strip_rows: int) ->
             arrays = [*batch.columns[:3], *(pa.array(x.astype(np.int32)) for x in (strip, *near))]
             yield pa.RecordBatch.from_arrays(arrays, names=["id", "copies", "embedding", "strip", "a", "b"])
 
-    dealt = placed.mapInArrow(deal, "id bigint, copies bigint, embedding array<float>, strip int, a int, b int")
+    dealt = placed.mapInArrow(deal, "id bigint, copies bigint, embedding array<double>, strip int, a int, b int")
     sent = dealt.select("id", "copies", "embedding", "strip", F.explode(F.sequence("a", "b")).alias("other")).select(
         "id", "copies", "embedding", "strip", F.least("strip", "other").alias("first"), F.greatest("strip", "other").alias("second")
     )
@@ -177,7 +177,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, strip_rows
     """vec_id, n_links, component_id and kept of every row of `vectors` (vec_id, embedding)."""
     finite = F.forall("embedding", lambda x: x.isNotNull() & (F.abs(x) < float("inf")) & ~F.isnan(x))
     sound = F.col("vec_id").isNotNull() & finite & F.exists("embedding", lambda x: x != 0)
-    rows = vectors.select("vec_id", F.col("embedding").cast("array<float>").alias("embedding"), F.coalesce(sound, F.lit(False)).alias("sound"))
+    rows = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"), F.coalesce(sound, F.lit(False)).alias("sound"))
     classes = stored(
         rows.where("sound").groupBy("embedding").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies")), "vector-classes"
     )

@@ -53,3 +53,15 @@ def test_edges(spark):
     ]
     assert found(spark, rows) == expected(rows)
     assert embeddings.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_doubles_beyond_floats_and_the_threshold_itself(spark):
+    rows = [(1, [1e-50, 0.0]), (2, [1e300, 1.0]), (3, [1.0, 0.0]), (4, [1.0, 1e-3]), (5, [0.0, 1e-310]), (5, [0.0, 1e-310]), (6, [0.0, -1.0]), (3, [1.0, 0.0])]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = sorted(map(tuple, embeddings.near_duplicates(frame).collect()))
+    near = [(1, 4, 1, True), (2, 4, 1, False), (3, 4, 1, False), (3, 4, 1, False), (4, 4, 1, False)]
+    assert got == sorted([*near, (5, 1, 5, True), (5, 1, 5, True), (6, 0, 6, True)])
+    # The cosine of these is 0.8 with threshold 0.8: linked; a little less is not.
+    frame = spark.createDataFrame([(1, [1.0, 0.0]), (2, [4.0, 3.0]), (3, [4.0, -3.0000001])], "vec_id bigint, embedding array<double>")
+    got = sorted(map(tuple, embeddings.near_duplicates(frame, threshold=0.8).collect()))
+    assert got == [(1, 1, 1, True), (2, 1, 1, False), (3, 0, 3, True)]
