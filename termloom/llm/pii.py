@@ -108,7 +108,7 @@ class Graph:
         self.known: list[list] = []
         self.where: list[tuple[int, int, int]] = []  # text, start, end
         labels, attributes, chain, skip, direct = [], [], [], [], []
-        self.longest = 0  # links in a row, of one kind
+        self.longest = [0] * len(texts)  # links in a row, of one kind, in each text
         for i, text in enumerate(texts):
             if not ANY_NODE.search(text):
                 self.known.append([])
@@ -143,7 +143,7 @@ class Graph:
                 else:
                     run = 0
                 previous_end = m.end()
-                digits = re.sub(r"[^0-9]", "", core[-64:])
+                digits = re.sub(r"[^0-9]", "", core)
                 key = digits[-7:] if len(digits) >= 7 else core.lower()
                 before = latest.get(key)
                 if before is not None:
@@ -158,7 +158,7 @@ class Graph:
                     direct.append((observed[key], node))
                 latest[key] = node
                 length[key] = length.get(key, 0) + 1
-                self.longest = max(self.longest, run, length[key])
+                self.longest[i] = max(self.longest[i], run, length[key])
         self.labels = np.array(labels, np.int64)
         self.attributes = np.array(attributes, np.int64).reshape(-1, len(SIZES))
         self.chain = np.array(chain, np.int64).reshape(-1, 2)
@@ -167,8 +167,8 @@ class Graph:
 
     @staticmethod
     def _attributes(text: str, at: int, core: str) -> tuple:
-        digits = sum(c.isdigit() for c in core[:80])
-        letters = sum(c.isalpha() for c in core[:80])
+        digits = sum(c.isdigit() for c in core)
+        letters = sum(c.isalpha() for c in core)
         found = WORD_BEFORE.search(text, max(0, at - 24), at)
         return (
             sum(digits > limit for limit in (0, 3, 4, 6, 8, 12, 19)),
@@ -248,7 +248,11 @@ class Field:
         # Observed nodes hear nothing: many messages would outvote them.
         hears = graph.labels[to] == 0
         active = np.flatnonzero(hears)
-        for _ in range(ROUNDS + 2 * graph.longest):
+        # By its own text: what lies beside a text in a batch changes nothing in it.
+        text = np.array([i for i, _, _ in graph.where], np.int64)
+        rounds = ROUNDS + 2 * np.array(graph.longest, np.int64)[text[to]]
+        for k in range(rounds.max(initial=0)):
+            active = active[rounds[active] > k]
             if not len(active):
                 break
             sent = (score[source[active]] - message[back[active]])[:, :, None] + potential[active]

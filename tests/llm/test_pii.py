@@ -103,3 +103,16 @@ def test_query_over_whole_tables(spark):
         assert r.base_sha256 == plain.digest(spans)
         assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(sum(s[0] == k for s in spans) for k in pii.KINDS)
         assert {":".join(map(str, s)) for s in spans} <= set(r.spans.split(","))
+
+
+def test_words_are_read_whole_and_texts_alone():
+    long = "y" * 90 + "5550037713"
+    [few], [many] = (pii.Graph([t]).attributes.tolist() for t in ("y5550037713", long))
+    assert few[0] == many[0] == 5
+    texts = ["call +1 (555) 003-7713 now, then " + " and ".join(["0037713"] * 40) + " " + long, "0037713 0037713", "card 4111 1111 1111 1111 or 1111111"] * 2
+    field = pii.Field()
+    rng = np.random.default_rng(2)
+    for table in (*field.unary, field.chain, field.skip):
+        table += rng.normal(size=table.shape)
+    together = field.spans(texts)[1]
+    assert together == [field.spans([t])[1][0] for t in texts]
