@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import gc
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.session import shared_folder
+from termloom.session import scratch_path
 
 # Texts handed to Python at once: so many, and about so many characters.
 BATCH_ROWS = 2_000
@@ -24,10 +23,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stored(relation: DataFrame, name: str) -> DataFrame:
     """Write a relation to the shared folder and read it back.
 
-    It is computed once, has no lineage to recompute, and outlives executors.
+    It is computed once, has no lineage to recompute, and outlives executors. It goes with its
+    owner: the `scratch` around the call, or the application.
     """
     spark = relation.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
     relation.write.parquet(path)
     return spark.read.schema(relation.schema).parquet(path)
 
@@ -62,6 +62,14 @@ def schema_of(docs: DataFrame, columns: list[str], more: dict[str, str]) -> str:
     return ", ".join([*(f"`{c}` {kinds[c]}" for c in columns), *(f"`{n}` {kind}" for n, kind in more.items())])
 
 
+def unused(columns: list[str], name: str) -> str:
+    """`name`, lengthened until no column has it, whatever the case."""
+    taken = {c.lower() for c in columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def map_texts(
     docs: DataFrame,
     columns: list[str],
@@ -74,7 +82,7 @@ def map_texts(
     `more` has the types of those columns. A null text is an empty one. Other columns
     of the input never reach Python.
     """
-    sent = docs.select(*(F.col(c) for c in columns), F.coalesce(F.col(text), F.lit("")).alias("__text"))
+    sent = docs.select(*(F.col(c) for c in columns), F.coalesce(F.col(text), F.lit("")).alias(unused(columns, "text")))
     names = list(more)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

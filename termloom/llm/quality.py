@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termloom.llm.common import map_texts, schema_of, stored
+from termloom.llm.common import map_texts, schema_of, stored, unused
 
 FEATURES = 192
 FOLDS = 3
@@ -221,6 +221,7 @@ def accepted(docs: DataFrame, labels: DataFrame, least: float = 0.5, train_rows:
 
     def work(texts: list[str]) -> dict:
         stats = np.array([statistics(t) for t in texts]).reshape(-1, STATISTICS)
-        return {"__score": model.calibrated(model.features(stats) @ model.weights)}
+        return {score: model.calibrated(model.features(stats) @ model.weights)}
 
-    return map_texts(docs, docs.columns, {"__score": "double"}, work).where(F.col("__score") >= least).drop("__score")
+    score = unused(docs.columns, "score")
+    return map_texts(docs, docs.columns, {score: "double"}, work).where(F.col(score) >= least).drop(score)

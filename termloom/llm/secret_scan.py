@@ -150,6 +150,8 @@ def _named(spans: Column) -> Column:
 def find_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows of `docs` with `known` and `found`: kind, start, end and string of spans, by start.
 
+    These two take the place of columns of `docs` that have their names.
+
     `known` are the spans of the three forms alone, `found` all spans.
     """
     whole = F.coalesce(F.col(text), F.lit(""))

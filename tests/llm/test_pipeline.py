@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from termloom.llm.common import stored
 from tests.llm import plain
@@ -46,3 +48,22 @@ def test_stages_take_empty_tables(spark):
     for name, stage in corpus_pipeline.STAGES:
         docs = stored(stage(spark, docs, SF), name)
         assert docs.count() == 0
+
+
+def test_stages_take_any_column_names_and_rows(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    more = ("redacted", "__text", "__score", "score", "text_", "of", "known", "found", "component_id", "n", "digest")
+    odd = [(None, None), (900_001, ""), (900_002, "word " * 60_000), (900_003, "call +1 555 0037713 or a@b.example"), (900_003, "call +1 555 0037713 or a@b.example")]
+    rows = spark.createDataFrame(odd, "doc_id bigint, text string")
+    docs = docs.unionByName(rows, allowMissingColumns=True)
+    for name in more:
+        docs = docs.withColumn(name, F.concat(F.lit(f"{name} of "), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))))
+    docs = stored(docs, "odd")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stored(stage(spark, docs, SF), name)
+        assert after.dtypes == docs.dtypes
+        for r in after.collect():
+            assert all(r[c] == f"{c} of {'none' if r.doc_id is None else r.doc_id}" for c in more)
+        if name != "quality":
+            docs = after
+    assert stored(corpus_pipeline.STAGES[-1][1](spark, docs, SF), "last").count() == docs.count()
