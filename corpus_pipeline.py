@@ -40,9 +40,10 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    clean = pii.redacted(docs, [c for c in docs.columns if c not in ("text", "n_chars")])
+    whole = docs.select(F.struct(*docs.columns).alias("of"), "text")
+    clean = pii.redacted(whole, ["of"])
     new = {"text": F.col("redacted"), "n_chars": F.length("redacted").cast("bigint")}
-    return clean.select(*(new[c].alias(c) if c in new else F.col(c) for c in docs.columns))
+    return clean.select(*(new[c].alias(c) if c in new else F.col(f"of.`{c}`").alias(c) for c in docs.columns))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
