@@ -15,8 +15,8 @@ the suffixes are first dealt into small buckets that hold all equal ones.
 2. What is left are stretches with equal anchors but other bytes around them: ends of
    shared passages, places of edits, chance. Their bytes are dealt by the anchor with
    half of its surroundings to the left, and to the right; each string has one of the
-   two whole. In each bucket the suffixes at the strings' starts are sorted by merging;
-   two suffixes are compared by binary search for the length of their common
+   two whole. In each bucket the suffixes at the strings' starts, less those whose hash of
+   LENGTH bytes no other has, are sorted by merging; two suffixes are compared by binary search for the length of their common
    beginning, by prefix hashes. Neighbours that seem equal are compared by bytes; if any
    differ after all, the bucket is sorted by its bytes. A key with more stretches than
    a bucket is to have is split over several; of each string such a part passes on those
@@ -51,6 +51,7 @@ COMMON_SHARE = 1 << 14
 COMMON_LEAST = 8
 OPEN = 0x8000  # in a place: open without being judged
 BUCKET_STRETCHES = 4_000
+SENT_BYTES = 2_000_000  # of open stretches, handed on at once
 SENT_KEYS = 1_000_000  # rows of some 20 bytes that may be sent to every task
 
 SPANS = "doc_id bigint, start int, end int, hash bigint"
@@ -148,35 +149,47 @@ def _surrounded(texts: DataFrame, open_: DataFrame) -> DataFrame:
     rows = texts.join(wanted, "doc_id")
     names = ["key", "right", "doc_id", "start", "anchor_at", "bytes"]
 
+    def of_text(doc_id: int, text: str | None, wanted: pa.StructArray) -> tuple[np.ndarray, ...] | None:
+        data = _of(text)
+        _, start, end, at = stretches(data)
+        if not len(start):
+            return None
+        made = Bytes(data)
+        places = wanted.field("start").to_numpy(zero_copy_only=False).astype(np.int64)
+        which = np.minimum(np.searchsorted(start, places), len(start) - 1)
+        # Another text of the same doc_id may have other stretches.
+        own = (start[which] == places) & (made.hash(start[which], end[which]) == wanted.field("stretch").to_numpy(zero_copy_only=False))
+        which = which[own]
+        s, e, a = start[which], end[which], at[which]
+        left = np.flatnonzero(a - s >= HALF)  # strings with a whole half before the anchor
+        right = np.flatnonzero(e - a - ANCHOR >= LENGTH - ANCHOR - HALF + 1)
+        key = np.concatenate([made.hash(a[left] - HALF, a[left] + ANCHOR), made.hash(a[right], a[right] + LENGTH - HALF + 1)])
+        pick = np.concatenate([left, right])
+        s, sizes = s[pick], (e - s)[pick]
+        content = data[np.arange(sizes.sum()) + np.repeat(s - (np.cumsum(sizes) - sizes), sizes)]
+        return key, np.repeat([False, True], [len(left), len(right)]), np.full(len(pick), doc_id), s, a[pick] - s, sizes, content
+
+    def batch_of(made: list[tuple]) -> pa.RecordBatch:
+        key, right, doc, start, anchor_at, sizes, content = (np.concatenate(x) for x in zip(*made))
+        offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+        binary = pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(content)])
+        numbers = [key, right, doc.astype(np.int64), start.astype(np.int32), anchor_at.astype(np.int32)]
+        return pa.RecordBatch.from_arrays([*map(pa.array, numbers), binary], names=names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in batches:
             for i in range(batch.num_rows):
-                data = _of(batch.column(1)[i].as_py())
-                made = Bytes(data)
-                _, start, end, at = stretches(data)
-                wanted = batch.column(2)[i].values
-                places = wanted.field("start").to_numpy(zero_copy_only=False).astype(np.int64)
-                which = np.minimum(np.searchsorted(start, places), max(len(start) - 1, 0))
-                if not len(start):
+                made = of_text(batch.column(0)[i].as_py(), batch.column(1)[i].as_py(), batch.column(2)[i].values)
+                if made is None:
                     continue
-                # Another text of the same doc_id may have other stretches.
-                own = (start[which] == places) & (made.hash(start[which], end[which]) == wanted.field("stretch").to_numpy(zero_copy_only=False))
-                which = which[own]
-                s, e, a = start[which], end[which], at[which]
-                content = [data[x:y].tobytes() for x, y in zip(s, e)]
-                left = np.flatnonzero(a - s >= HALF)  # strings with a whole half before the anchor
-                right = np.flatnonzero(e - a - ANCHOR >= LENGTH - ANCHOR - HALF + 1)
-                key = [made.hash(a[left] - HALF, a[left] + ANCHOR), made.hash(a[right], a[right] + LENGTH - HALF + 1)]
-                pick = np.concatenate([left, right])
-                arrays = [
-                    pa.array(np.concatenate(key)),
-                    pa.array(np.repeat([False, True], [len(left), len(right)])),
-                    pa.array(np.full(len(pick), batch.column(0)[i].as_py(), np.int64)),
-                    pa.array(s[pick].astype(np.int32)),
-                    pa.array((a - s)[pick].astype(np.int32)),
-                    pa.array([content[p] for p in pick], pa.binary()),
-                ]
-                yield pa.RecordBatch.from_arrays(arrays, names=names)
+                held.append(made)
+                size += len(made[-1])
+                if size >= SENT_BYTES:
+                    yield batch_of(held)
+                    held, size = [], 0
+        if held:
+            yield batch_of(held)
 
     schema = "key bigint, right boolean, doc_id bigint, start int, anchor_at int, bytes binary"
     return rows.select("doc_id", "text", "wanted").mapInArrow(run, schema)
@@ -265,6 +278,13 @@ def _bucketed(surrounded: DataFrame) -> DataFrame:
     )
 
 
+def _contents(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a binary column one after the other, and their sizes."""
+    whole = pa.concat_arrays([c.cast(pa.large_binary()) for c in column.chunks])
+    offsets = np.frombuffer(whole.buffers()[1], np.int64)[whole.offset : whole.offset + len(whole) + 1]
+    return np.frombuffer(whole.buffers()[2], np.uint8)[offsets[0] : offsets[-1]], np.diff(offsets)
+
+
 def _bucket(table: pa.Table) -> pa.Table:
     """Spans of strings in a bucket that a smaller doc_id has as well.
 
@@ -274,12 +294,11 @@ def _bucket(table: pa.Table) -> pa.Table:
     key, right = table["key"].to_numpy(), table["right"].to_numpy(zero_copy_only=False)
     doc, place = table["doc_id"].to_numpy(), table["start"].to_numpy().astype(np.int64)
     anchor_at = table["anchor_at"].to_numpy().astype(np.int64)
-    content = table["bytes"].to_pylist()
+    content, sizes = _contents(table["bytes"])
     group = np.unique(key * 2 + right, return_inverse=True)[1]
     alone = (np.bincount(group)[group] < 2) & ~table["split"].to_numpy(zero_copy_only=False)
-    sizes = np.array([len(c) for c in content])
     offset = np.cumsum(sizes) - sizes
-    data = Bytes(np.frombuffer(b"".join(content), dtype=np.uint8))
+    data = Bytes(content)
     # The strings of a stretch, by the anchor's distance from their start.
     rows, starts, distances = [], [], []
     for distance in range(STRINGS):
@@ -290,6 +309,11 @@ def _bucket(table: pa.Table) -> pa.Table:
         starts.append(offset[fits] + start[fits])
         distances.append(np.full(len(fits), distance))
     row, start, distance = (np.concatenate(x) for x in (rows, starts, distances))
+    split = table["split"].to_numpy(zero_copy_only=False)
+    # A string whose hash no other one here has is equal to none of them, and is not sorted.
+    _, which, count = np.unique(data.hash(start, start + LENGTH), return_inverse=True, return_counts=True)
+    asked = (count[which] > 1) | split[row]
+    row, start, distance = row[asked], start[asked], distance[asked]
     segment = group[row] * STRINGS + distance
     sorter = SuffixSorter(data, start, segment)
     order = sorter.sorted()
@@ -306,13 +330,17 @@ def _bucket(table: pa.Table) -> pa.Table:
     owner = doc[row[order]]
     heads = np.flatnonzero(first)
     least = np.minimum.reduceat(owner, heads)[np.cumsum(first) - 1] if len(heads) else owner
-    split = table["split"].to_numpy(zero_copy_only=False)
     gone, rest = order[owner > least], order[(owner == least) & split[row[order]]]
-    strings = [None] * len(gone) + [data.data[s : s + LENGTH].tobytes() for s in start[rest]]
-    made = np.concatenate([gone, rest])
-    at = place[row[made]] + start[made] - offset[row[made]]
-    hashed = data.hash(start[made], start[made] + LENGTH)
-    columns = {"doc_id": doc[row[made]], "start": at.astype(np.int32), "end": (at + LENGTH).astype(np.int32), "hash": hashed}
+    # Strings of a stretch that overlap are one span.
+    gone = gone[np.lexsort((start[gone], row[gone]))]
+    apart = (row[gone][1:] != row[gone][:-1]) | (start[gone][1:] - start[gone][:-1] > LENGTH)
+    heads = np.flatnonzero(np.concatenate([[True], apart])) if len(gone) else gone
+    lasts = np.append(heads[1:], len(gone))[: len(heads)] - 1
+    made = np.concatenate([gone[heads], rest])
+    begin, end = start[made], np.concatenate([start[gone[lasts]], start[rest]]) + LENGTH
+    at = place[row[made]] + begin - offset[row[made]]
+    columns = {"doc_id": doc[row[made]], "start": at.astype(np.int32), "end": (at + end - begin).astype(np.int32), "hash": data.hash(begin, end)}
+    strings = [None] * len(heads) + [data.data[s : s + LENGTH].tobytes() for s in start[rest]]
     return pa.table({**columns, "string": pa.array(strings, pa.binary())})
 
 
