@@ -2,9 +2,10 @@
 
 1. One pass makes the set of each text: its size and a digest (equal sets are one class).
    A shingle that comes twice within a task is counted in a count-min sketch of fixed
-   size; those that come once, the bulk, are not. Any order of the shingles that all
-   documents share would do; theirs is by the sketch's estimate, then by hash, so
-   those with long lists come last.
+   size; those that come once, the bulk, are not. What fills a cell in the middle is
+   taken off, so that a fuller sketch still knows what stands out. Any order of the
+   shingles that all documents share would do; theirs is by the sketch's estimate, then
+   by hash, so those with long lists come last.
 2. Two sets that are alike enough share l of the first `n - ceil(t * n) + l` shingles of
    each, where l is the smaller of the two sets' `1 + n / 10`. These prefixes are the
    only lists that are dealt out by shingle. In a short list all pairs of fitting sizes
@@ -44,10 +45,11 @@ from termloom.llm.embeddings import Forest
 
 WORDS = 5
 PERCENT = 75  # links: 100 * intersection >= PERCENT * union
-DEPTH, CELL_BITS = 3, 21  # of the sketch, which takes 12 MB whatever the data
+DEPTH, CELL_BITS = 3, 21  # of the sketch, which takes 25 MB whatever the data
 CHUNK = 1 << 15  # cells that are summed up together
 HELD = 4_000_000  # shingles in which a task looks for repeats
-LONG = 1_000  # estimate from which a list is cut into parts
+LONG = 1_000  # estimate from which a list is cut into parts, if cells differ by less
+NOISE = 6  # times that cells differ from the middle, which an estimate must exceed to be long
 PARTS = 64
 SHORT = 24  # documents of a list whose pairs are counted
 SHARE = 10  # of a set's size, one in so many shingles of the prefix must be shared
@@ -168,22 +170,33 @@ def _sets(docs: DataFrame) -> DataFrame:
 
 
 class Sketch:
-    """Estimates of how many documents have a shingle; 0 for those never seen twice."""
+    """Estimates of how many documents have a shingle; 0 for those never seen twice.
+
+    The cells of a row are filled alike by the many shingles that a few documents have. Their
+    median is taken off; `long` is what estimates exceed that cannot come from the rest.
+    """
 
     def __init__(self, sets: DataFrame):
-        self.cells = np.zeros((DEPTH, 1 << CELL_BITS), np.uint16)
+        self.cells = np.zeros((DEPTH, 1 << CELL_BITS), np.uint32)
         chunks = self.cells.reshape(-1, CHUNK)
+        most = np.iinfo(np.uint32).max
 
         def add(table: pa.Table) -> pa.Table:
             total = np.zeros(CHUNK, np.int64)
             for counts in table["counts"]:
                 total += np.frombuffer(zlib.decompress(counts.as_py()), np.int32)
-            packed = zlib.compress(np.minimum(total, 65535).astype(np.uint16).tobytes(), 1)
+            packed = zlib.compress(np.minimum(total, most).astype(np.uint32).tobytes(), 1)
             return pa.table({"chunk": table["chunk"][:1], "counts": pa.array([packed], pa.binary())})
 
         parts = sets.where("counts is not null").select("chunk", "counts")
         for r in parts.groupBy("chunk").applyInArrow(add, "chunk int, counts binary").collect():  # DEPTH * 2^CELL_BITS cells
-            chunks[r.chunk] = np.frombuffer(zlib.decompress(r.counts), np.uint16)
+            chunks[r.chunk] = np.frombuffer(zlib.decompress(r.counts), np.uint32)
+        self._level()
+
+    def _level(self) -> None:
+        middle, upper = np.percentile(self.cells, [50, 84], axis=1, method="lower")
+        self.cells -= np.minimum(self.cells, middle[:, None].astype(np.uint32))
+        self.long = max(LONG, NOISE * int((upper - middle).max()))
 
     def estimate(self, made: np.ndarray) -> np.ndarray:
         found = self.cells[0, _cells(made, 0)]
@@ -202,7 +215,7 @@ def _prefix(made: np.ndarray, sketch: Sketch, percent: int) -> tuple[np.ndarray,
 
 def _shared_prefixes(docs: DataFrame, sketch: Sketch, percent: int) -> DataFrame:
     """Edges a, b between documents whose prefixes share enough."""
-    model = docs.sparkSession.sparkContext.broadcast(sketch)  # 12 MB, always
+    model = docs.sparkSession.sparkContext.broadcast(sketch)  # 25 MB, always
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch, seen = model.value, set()
@@ -219,7 +232,7 @@ def _shared_prefixes(docs: DataFrame, sketch: Sketch, percent: int) -> DataFrame
                         seen.add(digest)
                     first, estimate = _prefix(made, sketch, percent)
                     token.append(first.view(np.int64))
-                    salt.append(np.where(estimate > LONG, 1 + int(_mixed(np.array([doc_id]).astype(np.uint64))[0] % np.uint64(PARTS)), 0))
+                    salt.append(np.where(estimate > sketch.long, 1 + int(_mixed(np.array([doc_id]).astype(np.uint64))[0] % np.uint64(PARTS)), 0))
                     owner.append(np.full(len(first), doc_id))
                     size.append(np.full(len(first), len(made), np.int32))
                 if token:

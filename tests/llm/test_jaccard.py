@@ -63,3 +63,18 @@ def test_long_words_that_differ_in_a_regular_way_are_apart(spark):
     bits = [bin(i).count("1") % 2 for i in range(2048)]
     rows = [(i, "".join(letters[b] for b in bits)) for i, letters in enumerate(("ab", "ba", "ab"))]
     assert joined(spark, rows) == [(0, 1, 0), (1, 1, 1), (2, 1, 0)]
+
+
+def test_a_full_sketch_still_knows_what_stands_out():
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    few, hot = (rng.integers(0, 2**63, n).astype(np.uint64) for n in (20_000_000, 100))
+    sketch = jaccard.Sketch.__new__(jaccard.Sketch)
+    size = 1 << jaccard.CELL_BITS
+    rows = [np.bincount(jaccard._cells(few, r), minlength=size) * 500 + np.bincount(jaccard._cells(hot, r), minlength=size) * 100_000 for r in range(jaccard.DEPTH)]
+    sketch.cells = np.array(rows, np.uint32)
+    assert (sketch.estimate(few[:1000]) > jaccard.LONG).mean() > 0.9
+    sketch._level()
+    assert (sketch.estimate(hot) > sketch.long).all()
+    assert (sketch.estimate(few[:100_000]) > sketch.long).mean() < 0.001
