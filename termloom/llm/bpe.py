@@ -2,7 +2,8 @@
 
 The merges are compiled into a deterministic automaton over tokens (automaton.py).
 A text is normalized and cut into words as the vocabulary's file asks; each word is
-read along the automaton's arcs, and what a word gave is kept in a bounded table.
+read along the automaton's arcs, and what a word gave is kept in a bounded table. Texts
+with characters that Python's tables do not know are normalized and cut by the library's.
 Decoding emits the labels of the arcs, joined by spaces, as the public library does
 for a file without a decoder.
 
@@ -13,14 +14,17 @@ inside a text are those tokens; every row of the input is one row of the output.
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 import unicodedata
+from functools import cache
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from tokenizers import Tokenizer
 
 from termloom.llm import automaton
 from termloom.llm.common import map_texts, schema_of
@@ -56,10 +60,40 @@ class WordPattern:
         return self.latin.findall(text)
 
 
+@cache
+def unassigned() -> re.Pattern:
+    """Characters that Python's tables do not know. Those of the library may be newer."""
+    edges, before = [], False
+    for point in range(0x110000):
+        now = unicodedata.category(chr(point)) == "Cn"
+        if now != before:
+            edges.append(point if now else point - 1)
+            before = now
+    edges += [0x10FFFF] if before else []
+    return re.compile("[" + "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(edges[::2], edges[1::2])) + "]")
+
+
+class LibraryWords:
+    """Words as the library's own tables normalize and cut a text, for texts with unassigned characters."""
+
+    def __init__(self, text: str):
+        spec = json.loads(text)
+        spec["model"], spec["added_tokens"] = {"type": "BPE", "vocab": {}, "merges": []}, []
+        tokenizer = Tokenizer.from_str(json.dumps(spec))
+        self.normalizer, self.pre_tokenizer = tokenizer.normalizer, tokenizer.pre_tokenizer
+        self.byte = automaton.byte_symbols()
+
+    def findall(self, text: str) -> list[str]:
+        if self.normalizer is not None:
+            text = self.normalizer.normalize_str(text)
+        pieces = self.pre_tokenizer.pre_tokenize_str(text)
+        return [bytes(map(self.byte.__getitem__, piece)).decode() for piece, _ in pieces]
+
+
 class WordCodec:
     def __init__(self, text: str):
         self.automaton, self.added = automaton.load(text)
-        self.words = WordPattern(WORDS)
+        self.words, self.library = WordPattern(WORDS), LibraryWords(text)
         self.special = regex.compile("|".join(map(regex.escape, self.added))) if self.added else None
         self.labels = list(self.automaton.labels)
         self.labels += [""] * (max(self.added.values(), default=0) + 1 - len(self.labels))
@@ -75,11 +109,16 @@ class WordCodec:
             self.known[word] = ids
         return ids
 
-    def _plain(self, text: str) -> list[bytes]:
+    def _words(self, text: str) -> list[str]:
         if not text.isascii():
+            if unassigned().search(text):
+                return self.library.findall(text)
             text = unicodedata.normalize("NFC", text)
         # Letter by letter: a sigma at a word's end stays the common small sigma.
-        words = self.words.findall(text.replace("Σ", "σ").lower())
+        return self.words.findall(text.replace("Σ", "σ").lower())
+
+    def _plain(self, text: str) -> list[bytes]:
+        words = self._words(text)
         known, make = self.known, self._word
         return [known.get(w) or make(w) for w in words]
 

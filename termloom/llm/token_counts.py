@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from termloom.llm import automaton
-from termloom.llm.bpe import WordPattern, _shared
+from termloom.llm.bpe import LibraryWords, WordPattern, _shared, unassigned
 from termloom.llm.common import map_texts
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -93,7 +93,7 @@ class TokenCounter:
     def __init__(self, text: str):
         machine, added = automaton.load(text)
         self.transducer = CountTransducer(machine)
-        self.words = WordPattern(WORDS)
+        self.words, self.library = WordPattern(WORDS), LibraryWords(text)
         self.special = regex.compile("|".join(map(regex.escape, added))) if added else None
         # A word begins wherever white space follows something else.
         self.edge = regex.compile(r"(?<=\S)(?=\s)")
@@ -110,7 +110,8 @@ class TokenCounter:
 
     def _plain(self, text: str) -> int:
         known, make = self.known, self._word
-        return sum([known.get(w) or make(w) for w in self.words.findall(text)])
+        newer = not text.isascii() and unassigned().search(text)
+        return sum([known.get(w) or make(w) for w in (self.library if newer else self.words).findall(text)])
 
     def _whole(self, text: str) -> int:
         """Tokens of a text that nothing precedes or follows."""

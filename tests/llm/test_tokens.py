@@ -48,6 +48,30 @@ def test_counts_are_those_of_the_library_however_a_text_is_cut(byte_bpe, monkeyp
         assert counter.count(text) == len(byte_bpe.encode(text, add_special_tokens=False).ids)
 
 
+def test_every_character_is_read_as_the_library_reads_it(word_bpe, byte_bpe):
+    codec = bpe.WordCodec(open(public_tokenizers.path(bpe.VOCABULARY), encoding="utf-8").read())
+    counter = token_counts.TokenCounter(open(public_tokenizers.path(token_counts.VOCABULARY), encoding="utf-8").read())
+    # Without the ideographs of the astral planes and private characters, which are all alike.
+    points = [p for p in range(0x20000) if not 0xD800 <= p < 0xF900] + list(range(0x2FA00, 0x2FA20)) + list(range(0xE0000, 0xE0200))
+    texts = [f"a{chr(p)}b {chr(p)}1'S" for p in points]
+    coded = word_bpe.encode_batch(texts, add_special_tokens=False)
+    counted = byte_bpe.encode_batch(texts, add_special_tokens=False)
+    for text, want, count in zip(texts, coded, counted):
+        assert np.frombuffer(codec.encode(text), "<u4").tolist() == want.ids, ascii(text)
+        assert counter.count(text) == len(count.ids), ascii(text)
+
+
+def test_random_strings_of_newer_characters(word_bpe, byte_bpe):
+    codec = bpe.WordCodec(open(public_tokenizers.path(bpe.VOCABULARY), encoding="utf-8").read())
+    counter = token_counts.TokenCounter(open(public_tokenizers.path(token_counts.VOCABULARY), encoding="utf-8").read())
+    rng = random.Random(10)
+    pieces = PIECES + list("\u1c89\ua7cb\U00010d50\u0c5c\u0378\U0001fae9")
+    for _ in range(2000):
+        text = "".join(rng.choice(pieces) for _ in range(rng.randint(0, 60)))
+        assert np.frombuffer(codec.encode(text), "<u4").tolist() == word_bpe.encode(text, add_special_tokens=False).ids
+        assert counter.count(text) == len(byte_bpe.encode(text, add_special_tokens=False).ids)
+
+
 def test_small_tables_of_the_transducer_change_nothing(byte_bpe, monkeypatch):
     monkeypatch.setattr(token_counts, "CACHED_STATES", 5)
     monkeypatch.setattr(token_counts, "CACHED_WORDS", 3)
