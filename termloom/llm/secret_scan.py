@@ -5,7 +5,10 @@ the places of the matches. Strings of the characters of a class, hexadecimal or
 base64, are candidates; a window slides along a candidate, the counts of its
 characters change by the one that enters and the one that leaves, and so does the
 sum from which its Shannon entropy follows. A candidate with a window of enough
-entropy is a span, unless the allow-list knows it as something harmless.
+entropy is a span, unless the allow-list knows all its pieces, between marks, as something
+harmless. A candidate shorter than the window is a window of its own length, for which
+the least entropy is less in proportion to the largest possible; it must have both a
+letter and a digit.
 
 Places are code points, ends exclusive. A null or empty text has no spans. Every row
 of the input gives one row, repeated ones too.
@@ -25,22 +28,19 @@ HEX = "[0-9a-f]+"
 KINDS = ("assign", "access", "hex", "entropy_hex", "entropy_base64")
 
 WINDOW = 24
+SHORTEST = 16  # characters of a candidate
 # Of each class: its pattern, its characters, and the entropy in bits that a window must have.
 CLASSES = {
-    "entropy_hex": ("[0-9A-Fa-f]{%d,}" % WINDOW, "0123456789abcdefABCDEF", 3.0),
+    "entropy_hex": ("[0-9A-Fa-f]{%d,}" % SHORTEST, "0123456789abcdefABCDEF", 3.0),
     "entropy_base64": (
-        "[A-Za-z0-9+/_=-]{%d,}" % WINDOW,
+        "[A-Za-z0-9+/_=-]{%d,}" % SHORTEST,
         "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-",
         3.9,
     ),
 }
-# Harmless strings: words, words joined by marks, numbers, and strings that only show a form.
-ALLOWED = (
-    r"^[A-Za-z]?[a-z]*$|^[A-Z]*$"
-    r"|^([A-Za-z]?[a-z]*|[A-Z]*)([-_/+=]+([A-Za-z]?[a-z]*|[A-Z]*))*$"
-    r"|^[0-9_=/+-]*$"
-    r"|(?i:example|placeholder|changeme|0123456789abcdef|abcdefghijklmnop)"
-)
+MARKS = "[-_/+=]+"
+# Harmless pieces: words, numbers, and strings that only show a form.
+ALLOWED = r"^([A-Za-z]?[a-z]*|[A-Z]*|[0-9]*)$|(?i:example|placeholder|changeme|0123456789abcdef|abcdefghijklmnop)"
 BLOCK = 256  # matches whose places are summed up together
 SPAN = "array<struct<start:int,rank:int,end:int,hit:string>>"
 
@@ -79,7 +79,7 @@ def _places(text: Column, pattern: str, rank: int) -> Column:
     return F.transform(F.array(pieces), lambda p: F.when(F.size(p) > 0, of(p)).otherwise(empty))[0]
 
 
-def _greatest_entropy(string: Column, alphabet: str) -> Column:
+def _greatest_entropy(string: Column, alphabet: str, window: Column) -> Column:
     """The largest entropy of a window of the string, from counts that are kept up to date."""
     codes = F.transform(F.split(string, ""), lambda c: F.instr(F.lit(alphabet), c))
     codes = F.filter(codes, lambda c: c > 0)
@@ -89,7 +89,7 @@ def _greatest_entropy(string: Column, alphabet: str) -> Column:
 
     def slide(codes: Column, done: Column, i: Column) -> Column:
         enters = F.get(codes, i)
-        leaves = F.when(i >= WINDOW, F.get(codes, i - WINDOW)).otherwise(F.lit(0))
+        leaves = F.when(i >= window, F.get(codes, i - window)).otherwise(F.lit(0))
         more, less = F.get(done["counts"], enters), F.get(done["counts"], leaves)
         same = enters == leaves
         total = F.when(same, done["total"]).otherwise(
@@ -101,8 +101,8 @@ def _greatest_entropy(string: Column, alphabet: str) -> Column:
         counts = F.transform(
             done["counts"], lambda c, j: c + (j == enters).cast("int") - (j == leaves).cast("int")
         )
-        entropy = F.lit(math.log2(WINDOW)) - total / WINDOW
-        best = F.when(i >= WINDOW - 1, F.greatest(done["best"], entropy)).otherwise(done["best"])
+        entropy = F.log2(window) - total / window
+        best = F.when(i >= window - 1, F.greatest(done["best"], entropy)).otherwise(done["best"])
         return F.struct(counts.alias("counts"), total.alias("total"), best.alias("best"))
 
     def of(codes: Column) -> Column:
@@ -132,10 +132,15 @@ def _known(text: Column) -> Column:
 def _candidates(text: Column, kind: str) -> Column:
     """Candidates that no allow-list entry explains and that have a window of high entropy."""
     pattern, alphabet, least = CLASSES[kind]
-    spans = F.filter(
-        _places(text, pattern, KINDS.index(kind)),
-        lambda s: ~s["hit"].rlike(ALLOWED) & (_greatest_entropy(s["hit"], alphabet) >= least),
-    )
+
+    def secret(hit: Column) -> Column:
+        window = F.least(F.lit(WINDOW), F.length(hit))
+        harmless = F.forall(F.split(hit, MARKS, -1), lambda piece: piece.rlike(ALLOWED))
+        mixed = (F.length(hit) >= WINDOW) | (hit.rlike("[A-Za-z]") & hit.rlike("[0-9]"))
+        enough = F.log2(window) * (least / math.log2(WINDOW))
+        return ~harmless & mixed & (_greatest_entropy(hit, alphabet, window) >= enough)
+
+    spans = F.filter(_places(text, pattern, KINDS.index(kind)), lambda s: secret(s["hit"]))
     return F.when(text.rlike(pattern), spans).otherwise(F.from_json(F.lit("[]"), SPAN))
 
 

@@ -20,20 +20,22 @@ def secret_spans(text: str) -> tuple[list, list]:
     more = []
     for kind, (pattern, _, least) in secret_scan.CLASSES.items():
         for m in re.finditer(pattern, text):
-            if not re.search(secret_scan.ALLOWED, m[0]) and best_entropy(m[0]) >= least:
+            w = min(secret_scan.WINDOW, len(m[0]))
+            harmless = all(re.search(secret_scan.ALLOWED, piece) for piece in re.split(secret_scan.MARKS, m[0]))
+            mixed = w == secret_scan.WINDOW or re.search("[A-Za-z]", m[0]) and re.search("[0-9]", m[0])
+            if not harmless and mixed and best_entropy(m[0], w) >= math.log2(w) * (least / math.log2(secret_scan.WINDOW)):
                 more.append((kind, *m.span()))
     order = secret_scan.KINDS.index
     return tuple(sorted(spans, key=lambda s: (s[1], order(s[0]))) for spans in (known, known + more))
 
 
-def best_entropy(string: str) -> float:
-    w = secret_scan.WINDOW
+def best_entropy(string: str, w: int) -> float:
     windows = (string[i : i + w] for i in range(len(string) - w + 1))
     return max(-sum(x.count(c) / w * math.log2(x.count(c) / w) for c in set(x)) for x in windows)
 
 
 def contaminated(docs: list, items: list) -> set:
-    """(doc_id, item_id, agreeing, window) by trying every place against every place."""
+    """(doc_id, item_id, agreeing, window) by laying every window at every distance."""
     import regex
 
     def words(text):
@@ -49,22 +51,13 @@ def contaminated(docs: list, items: list) -> set:
             t = words(passage)
             if doc_id is None or item_id is None or not t:
                 continue
-            small = min(map(len, decontamination.MASKS))
-            masks = decontamination.MASKS if len(t) >= small else ["1" * len(t)]
             w = min(decontamination.WINDOW, len(t))
-            for p in range(len(t)):
-                for i in at.get(t[p], []):
-                    for mask in masks:
-                        if p + len(mask) > len(t) or i + len(mask) > len(d):
-                            continue
-                        if any(m == "1" and d[i + k] != t[p + k] for k, m in enumerate(mask)):
-                            continue
-                        for s in range(p + len(mask) - w, p + 1):
-                            if s >= 0 and s + w <= len(t) and i + s - p >= 0 and i + s - p + w <= len(d):
-                                n = sum(d[i + s - p + k] == t[s + k] for k in range(w))
-                                if n >= math.ceil(w * decontamination.AGREEMENT):
-                                    key = (doc_id, item_id)
-                                    best[key] = max(best.get(key, (0, w)), (n, w))
+            for p, i in {(p, i) for p in range(len(t)) for i in at.get(t[p], [])}:
+                for s in range(max(p - w + 1, 0), min(p, len(t) - w) + 1):
+                    if i + s - p >= 0 and i + s - p + w <= len(d):
+                        n = sum(d[i + s - p + k] == t[s + k] for k in range(w))
+                        if n >= math.ceil(w * decontamination.AGREEMENT):
+                            best[doc_id, item_id] = max(best.get((doc_id, item_id), (0, w)), (n, w))
     return {(*key, *value) for key, value in best.items()}
 
 

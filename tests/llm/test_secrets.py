@@ -13,6 +13,8 @@ TEXTS = [
     "key q8Zr1LkT0vXw3PbN7sYdGf5HjQ2mC9 path/to/some/ordinary/long/name/here",
     "ſecret=abcdefghij toKen=abcdefghij",  # letters that fold to ASCII ones are not matched
     "zzzzzzzzzzzzzzzzzzzzzzzzzzzzzzzzzzzzzzzzzzzzzzzz 123456789012345678901234567890",
+    "EXAMPLE_KEY=q8Zr1LkT0vXw3PbN7sYdGf5HjQ2mC9 short q8Zr1LkT0vXw3PbN and /2024/01/some-article-about-nothing",
+    "internationalizations getUserAccountIdentity 2024010112345678 XXXXexampleXXXX1234 a1a1a1a1a1a1a1a1",
     "x " + "0f1e2d3c4b5a69788796a5b4c3d2e1f0 " * 700,
 ]
 
@@ -39,6 +41,12 @@ def test_high_entropy_is_found_and_the_allow_list_suppresses(rows):
     assert kinds[7] == []
 
 
+def test_pieces_are_allowed_one_by_one_and_short_keys_are_measured(rows):
+    hits = {r.doc_id: [s.hit for s in r.found] for r in secret_scan.find_secrets(rows).collect()}
+    assert hits[8] == ["EXAMPLE_KEY=q8Zr1LkT0vXw3PbN7sYdGf5HjQ2mC9", "q8Zr1LkT0vXw3PbN"]
+    assert hits[9] == []
+
+
 def test_query_over_whole_tables(spark):
     sf = "/root/testdata/sf0.001"
     texts = dict(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect())
