@@ -12,7 +12,13 @@
    are counted, and pairs that reach l are edges; documents of a longer list all get
    an edge to its first. So a pair that is alike has an edge of its own, or is in one
    longer list. Connected documents form a family; links never leave a family.
-3. Each family is searched with the whole sets of its documents, in tiles of bounded
+3. A family too large for one tile is dealt out again by its own, exact counts: what the
+   sketch took for rare, or what all of the family have in common, then comes last. Of a
+   longer list only documents that have it among their first `n - ceil(t * n) + 1` get an
+   edge; any two that are alike share one of these. Pairs of short lists must reach l less
+   the shingles of longer lists that both may share. This goes on while families shrink,
+   and costs in proportion to their texts, however the first order went wrong.
+4. Each family is searched with the whole sets of its documents, in tiles of bounded
    size where it is large. A search is a T-occurrence search by DivideSkip: of the
    inverted lists of a query's shingles the short ones are merged, which gives
    documents that occur often enough to reach the needed overlap together with the
@@ -21,7 +27,8 @@
 
 A tile returns the links of a spanning forest, as many rows as it has documents.
 Shingles are compared by 64-bit hashes. A hot shingle's list is cut into parts by a
-digest of the document, and the parts' leaders are led together.
+digest of the document, and the parts' leaders are led together. Of documents with
+equal sets only the least is searched.
 
 A text with fewer words than a shingle has is one shingle; without words, or null, it
 has the empty set and is linked with nothing. Rows of one doc_id are one document in
@@ -42,6 +49,7 @@ from pyspark.sql import functions as F
 from termloom.llm.common import map_texts, slices, stored
 from termloom.llm.components import connected_components
 from termloom.llm.embeddings import Forest
+from termloom.operators.split_join import join_split
 
 WORDS = 5
 PERCENT = 75  # links: 100 * intersection >= PERCENT * union
@@ -53,6 +61,7 @@ NOISE = 6  # times that cells differ from the middle, which an estimate must exc
 PARTS = 64
 SHORT = 24  # documents of a list whose pairs are counted
 SHARE = 10  # of a set's size, one in so many shingles of the prefix must be shared
+ROUNDS = 4  # of dealing large families out again; any number gives the same links
 TILE_DOCUMENTS = 1_024
 TILE_SHINGLES = 500_000
 LONG_WEIGHT = 0.1  # the share of DivideSkip's formula that a probe's cost has
@@ -249,26 +258,52 @@ def _shared_prefixes(docs: DataFrame, sketch: Sketch, percent: int) -> DataFrame
     first = leaders.groupBy("token").agg(F.min("leader").alias("a"))
     across = leaders.join(first, "token").select("a", F.col("leader").alias("b"))
     within = long.select(F.col("leader").alias("a"), F.col("doc_id").alias("b"))
-    short = shared.where((F.col("salt") == 0) & (F.col("length") <= SHORT))
+    short = shared.where((F.col("salt") == 0) & (F.col("length") <= SHORT)).withColumn("hot", F.lit(0))
     return within.union(across).where("a < b").union(_counted_pairs(short, percent)).distinct()
 
 
 def _counted_pairs(short: DataFrame, percent: int) -> DataFrame:
-    """Pairs a, b of short lists that share as many shingles as alike pairs must."""
-    members = short.groupBy("token").agg(F.sort_array(F.collect_list(F.struct("doc_id", "n"))).alias("m"))
+    """Pairs a, b of short lists (token, doc_id, n, hot) that share as many shingles as alike pairs must.
+
+    Up to `hot` of the shingles of a document's prefix are in longer lists, and not counted here.
+    """
+    members = short.groupBy("token").agg(F.sort_array(F.collect_list(F.struct("doc_id", "n", "hot"))).alias("m"))
 
     def pairs(x, i):
         later = F.filter(
             F.slice("m", i + 2, F.lit(SHORT)),
             lambda y: (F.greatest(x["n"], y["n"]) * percent <= F.least(x["n"], y["n"]) * 100) & (x["doc_id"] < y["doc_id"]),
         )
+        least = lambda y: 1 + F.floor(F.least(x["n"], y["n"]) / SHARE) - F.least(x["hot"], y["hot"])
         return F.transform(
-            later, lambda y: F.struct(x["doc_id"].alias("a"), y["doc_id"].alias("b"), F.least(x["n"], y["n"]).alias("n"))
+            later, lambda y: F.struct(x["doc_id"].alias("a"), y["doc_id"].alias("b"), F.greatest(least(y), F.lit(1)).alias("least"))
         )
 
-    found = members.select(F.explode(F.flatten(F.transform("m", pairs))).alias("p")).select("p.a", "p.b", "p.n")
-    counted = found.groupBy("a", "b", "n").agg(F.count("*").alias("shared"))
-    return counted.where(F.col("shared") >= 1 + F.floor(F.col("n") / SHARE)).select("a", "b")
+    found = members.select(F.explode(F.flatten(F.transform("m", pairs))).alias("p")).select("p.a", "p.b", "p.least")
+    counted = found.groupBy("a", "b", "least").agg(F.count("*").alias("shared"))
+    return counted.where(F.col("shared") >= F.col("least")).select("a", "b")
+
+
+def _exact_prefixes(sets: DataFrame, percent: int) -> DataFrame:
+    """Edges a, b between sets (family, doc_id, set) of a family, in the order of its exact counts."""
+    text = ["family", "doc_id", "of"]
+    whole = sets.withColumn("of", F.xxhash64("set")).dropDuplicates(text)
+    tokens = whole.select(*text, F.size("set").alias("n"), F.explode("set").alias("shingle"))
+    tokens = tokens.select(*text, "n", F.xxhash64("family", "shingle").alias("token"))
+    counts = tokens.groupBy("token").agg(F.count("*").alias("length")).where("length > 1")
+    common = join_split(tokens, counts, "token", "length", "doc_id")
+    of_text = Window.partitionBy(*text)
+    # Shingles that no other has come first; they are not among the joined ones.
+    place = F.col("n") - F.count("*").over(of_text) + F.row_number().over(of_text.orderBy("length", "token"))
+    standard = F.col("n") - F.ceil(percent * F.col("n") / 100) + 1
+    placed = common.select("*", place.alias("place"), standard.alias("standard"))
+    first = placed.where(F.col("place") <= F.col("standard") + F.floor(F.col("n") / SHARE))
+    hot = F.sum((F.col("length") > SHORT).cast("int")).over(of_text)
+    first = stored(first.select("token", "doc_id", "n", "length", (F.col("place") <= F.col("standard")).alias("lead"), hot.alias("hot")), "jaccard-exact")
+    long = first.where(F.col("lead") & (F.col("length") > SHORT)).select("token", "doc_id")
+    leaders = long.groupBy("token").agg(F.min("doc_id").alias("leader"), F.count("*").alias("held"))
+    within = join_split(long, leaders, "token", "held", "doc_id").select(F.col("leader").alias("a"), F.col("doc_id").alias("b"))
+    return within.where("a < b").union(_counted_pairs(first.where(F.col("length") <= SHORT), percent)).distinct()
 
 
 class Index:
@@ -313,8 +348,9 @@ def _search(table: pa.Table, same: bool, first: int, percent: int) -> pa.Table:
     """The links of a spanning forest of a tile."""
     table = table.sort_by("doc_id")
     ids = table["doc_id"].to_numpy()
-    flat, offset = table["set"].combine_chunks(), 0
-    sets = [np.frombuffer(s.as_py(), dtype=np.uint64) for s in flat]
+    flat = table["set"].combine_chunks()
+    tokens, ends = flat.values.to_numpy().view(np.uint64), flat.offsets.to_numpy()
+    sets = [tokens[start:end] for start, end in zip(ends, ends[1:])]
     part = table["part"].to_numpy()
     left = np.flatnonzero(part == first)
     right = left if same else np.flatnonzero(part != first)
@@ -333,20 +369,53 @@ def _search(table: pa.Table, same: bool, first: int, percent: int) -> pa.Table:
     return pa.table({"a": ids[forest.least[moved]], "b": ids[moved]})
 
 
-def _links(docs: DataFrame, families: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links a, b of spanning forests of the documents of each family."""
+def _members(families: DataFrame, sets: DataFrame) -> DataFrame:
+    """doc_id, family, and the `parts` that keep its tiles in bounds; of families of more than one."""
     sizes = families.join(sets.where("n > 0").groupBy("doc_id").agg(F.sum("n").alias("n")), "doc_id")
     parts = sizes.groupBy("family").agg(
-        F.greatest(F.ceil(F.count("*") / TILE_DOCUMENTS), F.ceil(F.sum("n") / TILE_SHINGLES)).cast("int").alias("parts")
+        F.greatest(F.ceil(F.count("*") / TILE_DOCUMENTS), F.ceil(F.sum("n") / TILE_SHINGLES)).cast("int").alias("parts"),
+        F.count("*").alias("size"),
     )
-    members = families.join(parts, "family").select("doc_id", "family", "parts", F.pmod(F.xxhash64("doc_id"), "parts").cast("int").alias("part"))
+    return families.join(parts.where("size > 1"), "family").select("doc_id", "family", "parts")
+
+
+def _with_sets(docs: DataFrame, members: DataFrame, columns: list[str]) -> DataFrame:
+    """`columns` of the members, and the `set` of each of their texts that has one."""
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(members, "doc_id")
 
     def work(texts: list[str]) -> dict:
-        return {"set": [shingles(t).tobytes() for t in texts]}
+        return {"set": [shingles(t).view(np.int64) for t in texts]}
+
+    return map_texts(texts, columns, {"set": "array<bigint>"}, work).where("size(set) > 0")
+
 
-    columns = ["doc_id", "family", "parts", "part"]
-    whole = map_texts(texts, columns, {"set": "binary"}, work).where("length(set) > 0")
+def _leaders_of(families: DataFrame, known: DataFrame) -> DataFrame:
+    """Families of the least documents that have the sets of their members."""
+    return families.join(known, "doc_id").select(F.col("leader").alias("doc_id"), "family").distinct()
+
+
+def _narrowed(docs: DataFrame, families: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """`_members` of families, those of several parts dealt out again while they shrink."""
+    members, before, texts = stored(_members(families, sets), "jaccard-families"), None, None
+    for _ in range(ROUNDS):
+        large = members.where("parts > 1")
+        state = tuple(large.agg(F.count("*"), F.count_distinct("family")).first())
+        if state == before or state[0] == 0:
+            break
+        before = state
+        if texts is None:
+            texts = stored(_with_sets(docs, large.select("doc_id").distinct(), ["doc_id"]), "jaccard-large")
+        edges = _exact_prefixes(texts.join(large.select("doc_id", "family"), "doc_id"), percent)
+        found = connected_components(edges).toDF("doc_id", "family")
+        again = _members(found.union(found.select("family", "family")).distinct(), sets)
+        members = stored(members.where("parts = 1").unionByName(again), "jaccard-families")
+    return members
+
+
+def _links(docs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """Links a, b of spanning forests of the documents of each family."""
+    members = members.withColumn("part", F.pmod(F.xxhash64("doc_id"), "parts").cast("int"))
+    whole = _with_sets(docs, members, ["doc_id", "family", "parts", "part"])
     sent = whole.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")).select(
         "family", F.least("part", "other").alias("first"), F.greatest("part", "other").alias("second"), "part", "doc_id", "set"
     )
@@ -361,12 +430,12 @@ def jaccard_join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of `docs` (doc_id, text)."""
     sets = stored(_sets(docs), "jaccard-sets")
     rows = sets.where("n is not null")
-    families = connected_components(_shared_prefixes(docs, Sketch(sets), percent)).toDF("doc_id", "family")
-    families = stored(families.union(families.select("family", "family")).distinct(), "jaccard-families")
-    links = _links(docs, families, sets, percent)
     # Documents of one digest, and of one doc_id, are one.
-    classes = rows.where("n > 0 and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("leader"))
-    known = rows.where("n > 0 and doc_id is not null").select("doc_id", "digest").distinct().join(classes, "digest")
+    some = rows.where("n > 0 and doc_id is not null").select("doc_id", "digest")
+    known = stored(some.distinct().join(some.groupBy("digest").agg(F.min("doc_id").alias("leader")), "digest").select("doc_id", "leader"), "jaccard-classes")
+    families = connected_components(_shared_prefixes(docs, Sketch(sets), percent)).toDF("doc_id", "family")
+    families = _leaders_of(families.union(families.select("family", "family")).distinct(), known)
+    links = _links(docs, _narrowed(docs, families, sets, percent), percent)
     copies = known.where("leader < doc_id").select(F.col("leader").alias("a"), F.col("doc_id").alias("b"))
     components = connected_components(links.union(copies)).toDF("doc_id", "component")
     found = rows.join(components, "doc_id", "left")

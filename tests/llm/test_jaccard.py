@@ -34,6 +34,61 @@ def test_near_copies_around_the_threshold_in_tiles(spark, monkeypatch):
     assert 4 <= len({r[2] for r in want}) < len(docs)
 
 
+def mislead(sketch):
+    """Have a sketch take all shingles for equally rare."""
+    sketch.cells.fill(0)
+    sketch.long = jaccard.LONG
+
+
+def with_passage(groups, copies, own, passage=70):
+    """Groups of near copies; every document holds the same passage."""
+    rng = random.Random(groups)
+    shared = " ".join(f"p{i}" for i in range(passage))
+    for group in range(groups):
+        words = [f"g{group}w{i}" for i in range(own)]
+        for copy in range(copies):
+            yield group * 1_000 + rng.randrange(1_000), f"{shared} {' '.join(words)} end{copy}"
+
+
+def test_families_are_the_true_groups_however_the_sketch_errs(spark, monkeypatch):
+    monkeypatch.setattr(jaccard.Sketch, "_level", mislead)
+    monkeypatch.setattr(jaccard, "TILE_DOCUMENTS", 16)
+    docs = list(with_passage(30, 4, 30))
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    sets = jaccard._sets(frame).cache()
+    known = sets.where("n > 0").selectExpr("doc_id", "doc_id as leader")
+    edges = jaccard._shared_prefixes(frame, jaccard.Sketch(sets), jaccard.PERCENT)
+    families = jaccard.connected_components(edges).toDF("doc_id", "family")
+    families = families.union(families.select("family", "family")).distinct()
+    assert families.groupBy("family").count().agg({"count": "max"}).first()[0] > 100
+    narrowed = jaccard._narrowed(frame, jaccard._leaders_of(families, known), sets, jaccard.PERCENT)
+    found = {}
+    for r in narrowed.collect():
+        found.setdefault(r.family, set()).add(r.doc_id)
+    want = {}
+    for doc_id, _ in docs:
+        want.setdefault(doc_id // 1_000, set()).add(doc_id)
+    assert sorted(map(sorted, found.values())) == sorted(map(sorted, want.values()))
+
+
+def test_no_link_is_lost_when_large_families_are_dealt_out_again(spark, monkeypatch):
+    monkeypatch.setattr(jaccard.Sketch, "_level", mislead)
+    monkeypatch.setattr(jaccard, "TILE_DOCUMENTS", 4)
+    monkeypatch.setattr(jaccard, "SHORT", 3)
+    rng = random.Random(9)
+    docs = list(with_passage(6, 5, 9)) + list(with_passage(4, 3, 16))
+    for family in range(3):
+        words = [f"f{family}w{i}" for i in range(50)]
+        for _ in range(20):
+            changed = [w if rng.random() > 0.015 else f"new{rng.random()}" for w in words]
+            docs.append((rng.randrange(10**6, 10**9), " ".join(changed[rng.randint(0, 4) : rng.randint(42, 50)])))
+    docs += [(5_000_000_000 + i, docs[0][1]) for i in range(3)] + [docs[1], (docs[2][0], "another text of document two in six")]
+    docs += [(6_000_000_000, None), (None, docs[0][1])]
+    want = sorted(plain.jaccard(docs), key=str)
+    assert joined(spark, docs) == want
+    assert 5 <= len({r[2] for r in want}) < len(docs) - 20
+
+
 def test_edges(spark):
     text = "Red green blue white black"
     docs = [
