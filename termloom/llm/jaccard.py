@@ -43,10 +43,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from termloom.llm.common import map_texts, slices, stored
+from termloom.llm.common import map_texts, stored
 from termloom.llm.components import connected_components
 from termloom.llm.embeddings import Forest
 from termloom.operators.split_join import join_split
@@ -65,33 +66,12 @@ ROUNDS = 4  # of dealing large families out again; any number gives the same lin
 TILE_DOCUMENTS = 1_024
 TILE_SHINGLES = 500_000
 LONG_WEIGHT = 0.1  # the share of DivideSkip's formula that a probe's cost has
+SLICE_BYTES = 200_000  # of texts whose sets are made together
+DIGESTED = 24  # bytes; longer words are hashed by a cryptographic digest
 REMEMBERED = 500_000  # digests that a task remembers, to send equal sets once
 
-_random = np.random.default_rng(8)
-_LETTERS = _random.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 2**64)
-
-
-def _powers(base: int, n: int) -> np.ndarray:
-    made = np.ones(max(n, 1), np.uint64)
-    if n > 1:
-        made[1:] = np.uint64(base)
-        made = np.multiply.accumulate(made)
-    return made
-
-
-class _Powers:
-    """Powers of the base and its inverse modulo 2^64, as far as they were needed."""
-
-    up = _powers(_BASE, 1 << 16)
-    down = _powers(_INVERSE, 1 << 16)
-
-    @classmethod
-    def upto(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if n > len(cls.up):
-            cls.up, cls.down = _powers(_BASE, 2 * n), _powers(_INVERSE, 2 * n)
-        return cls.up[:n], cls.down[:n]
+_BASE = 0x9E3779B97F4A7C15
+_FIRST_BYTES = np.array([2 ** (8 * n) - 1 for n in range(9)], np.uint64)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -100,33 +80,82 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class _Words(dict):
-    """Hashes of words that were met, from a cryptographic digest: no two words are known to share one."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        made = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-        if len(word) <= 64:
-            self[word] = made
-        return made
-
-
-_words = _Words()
+def _hashed(words: pa.Array) -> np.ndarray:
+    """A hash of each string: its length and eight bytes at a time, mixed one after the other; long ones by a digest."""
+    _, offsets, data = words.buffers()
+    ends = np.frombuffer(offsets, np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+    starts, size = ends[:-1], np.diff(ends)
+    used = np.frombuffer(data, np.uint8)[: ends[-1]] if data is not None else np.zeros(0, np.uint8)
+    padded = np.concatenate([used, np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(used) + 1, "<u8", padded, strides=(1,))
+    made = _mixed(size.astype(np.uint64) + np.uint64(_BASE))
+    for k in range(0, DIGESTED, 8):
+        more = np.flatnonzero(size > k)
+        part = eight[starts[more] + k] & _FIRST_BYTES[np.minimum(size[more] - k, 8)]
+        made[more] = _mixed(made[more] + part)
+    for i in np.flatnonzero(size > DIGESTED):
+        digest = hashlib.blake2b(used[starts[i] : ends[i + 1]].tobytes(), digest_size=8).digest()
+        made[i] = int.from_bytes(digest, "little")
+    return made
 
 
-def shingles(text: str, words: int = WORDS) -> np.ndarray:
-    """The set of the text, as sorted hashes."""
-    # Of bytes, lower() changes A-Z alone, and split() cuts at the six white space characters.
-    found = text.encode("utf-8", "surrogatepass").lower().split()
-    if not found:
-        return np.zeros(0, np.uint64)
-    word = np.fromiter(map(_words.__getitem__, found), np.uint64, len(found))
-    n = min(words, len(word))
-    made = np.full(len(word) - n + 1, n, np.uint64)
-    for i in range(n):
-        made = _mixed(made * np.uint64(_BASE) + word[i : len(word) - n + 1 + i])
-    return np.unique(made)
+def _word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts, and how many each text has."""
+    # Of both functions ASCII is all they know: A-Z, and the six white space characters.
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    words = lists.flatten()
+    found = pc.greater(pc.binary_length(words), 0).to_numpy(zero_copy_only=False)
+    owner = np.repeat(np.arange(len(texts)), pc.list_value_length(lists).to_numpy())
+    coded = words.dictionary_encode()
+    hashes = _hashed(coded.dictionary)
+    return hashes[coded.indices.to_numpy()[found]], np.bincount(owner[found], minlength=len(texts))
+
+
+def _slice_sets(texts: pa.Array, words: int) -> list[np.ndarray]:
+    """The sets of a few texts. A shingle's hash is a polynomial of the hashes of its words, mixed."""
+    word, many = _word_hashes(texts)
+    size = np.minimum(many, words)
+    starts = np.cumsum(many) - many
+    kept = many - size + (many > 0)
+    ends = np.cumsum(kept)
+    # Where each shingle begins among the words.
+    at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - kept), kept)
+    length = np.repeat(size, kept)
+    made = length.astype(np.uint64)
+    whole = length == words
+    for i in range(words):
+        if whole.all():
+            made = made * np.uint64(_BASE) + word[at + i]
+        else:
+            some = np.flatnonzero(length > i)
+            made[some] = made[some] * np.uint64(_BASE) + word[at[some] + i]
+    made = _mixed(made)
+    begins = ends - kept
+    for begin, end in zip(begins, ends):
+        made[begin:end].sort()
+    new = np.ones(len(made), bool)
+    new[1:] = made[1:] != made[:-1]
+    new[begins[kept > 0]] = True
+    before = np.concatenate([[0], np.cumsum(new)])
+    made = made[new]
+    return [made[before[begin] : before[end]] for begin, end in zip(begins, ends)]
+
+
+def _by_slice(texts: pa.Array, words: int = WORDS) -> Iterator[list[np.ndarray]]:
+    """The sets of the texts, of so many texts at a time as fit SLICE_BYTES, or of one."""
+    ends = np.cumsum(pc.binary_length(texts).to_numpy())
+    start = 0
+    while start < len(texts):
+        before = ends[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(ends, before + SLICE_BYTES, "right")))
+        yield _slice_sets(texts.slice(start, end - start), words)
+        start = end
+
+
+def shingle_sets(texts: pa.Array, words: int = WORDS) -> Iterator[np.ndarray]:
+    """The set of each text, as sorted hashes."""
+    for sets in _by_slice(texts, words):
+        yield from sets
 
 
 def _digest(made: np.ndarray) -> bytes:
@@ -152,14 +181,13 @@ def _sets(docs: DataFrame) -> DataFrame:
         held, size = [], 0
         for batch in batches:
             n, digests = [], []
-            for text in batch.column(1):
-                made = shingles(text.as_py())
+            for made in shingle_sets(batch.column(1)):
                 digests.append(_digest(made) if len(made) else None)
                 n.append(len(made))
                 if digests[-1] not in seen:
                     if len(seen) < REMEMBERED:
                         seen.add(digests[-1])
-                    held.append(made)
+                    held.append(made.copy())
                     size += len(made)
                     if size >= HELD:
                         add(sketch, held)
@@ -229,11 +257,10 @@ def _shared_prefixes(docs: DataFrame, sketch: Sketch, percent: int) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch, seen = model.value, set()
         for batch in batches:
-            ids, texts = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_pylist()
-            for part in slices(texts):
+            ids = iter(batch.column(0).to_numpy(zero_copy_only=False))
+            for sets in _by_slice(batch.column(1)):
                 token, salt, owner, size = [], [], [], []
-                for doc_id, text in zip(ids[part], texts[part]):
-                    made = shingles(text)
+                for made, doc_id in zip(sets, ids):
                     digest = _digest(made)
                     if not len(made) or digest in seen:
                         continue
@@ -379,14 +406,16 @@ def _members(families: DataFrame, sets: DataFrame) -> DataFrame:
     return families.join(parts.where("size > 1"), "family").select("doc_id", "family", "parts")
 
 
-def _with_sets(docs: DataFrame, members: DataFrame, columns: list[str]) -> DataFrame:
-    """`columns` of the members, and the `set` of each of their texts that has one."""
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(members, "doc_id")
+def _with_sets(docs: DataFrame, members: DataFrame) -> DataFrame:
+    """doc_id and `set` of each text, with one, of the members."""
+    ids = members.select("doc_id").distinct()
+    # Members grow with the texts, so both are sorted whatever their size.
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(ids.hint("merge"), "doc_id")
 
     def work(texts: list[str]) -> dict:
-        return {"set": [shingles(t).view(np.int64) for t in texts]}
+        return {"set": [made.view(np.int64) for made in shingle_sets(pa.array(texts, pa.string()))]}
 
-    return map_texts(texts, columns, {"set": "array<bigint>"}, work).where("size(set) > 0")
+    return map_texts(texts, ["doc_id"], {"set": "array<bigint>"}, work).where("size(set) > 0")
 
 
 def _leaders_of(families: DataFrame, known: DataFrame) -> DataFrame:
@@ -394,17 +423,15 @@ def _leaders_of(families: DataFrame, known: DataFrame) -> DataFrame:
     return families.join(known, "doc_id").select(F.col("leader").alias("doc_id"), "family").distinct()
 
 
-def _narrowed(docs: DataFrame, families: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _narrowed(members: DataFrame, sets: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """`_members` of families, those of several parts dealt out again while they shrink."""
-    members, before, texts = stored(_members(families, sets), "jaccard-families"), None, None
+    before = None
     for _ in range(ROUNDS):
         large = members.where("parts > 1")
         state = tuple(large.agg(F.count("*"), F.count_distinct("family")).first())
         if state == before or state[0] == 0:
             break
         before = state
-        if texts is None:
-            texts = stored(_with_sets(docs, large.select("doc_id").distinct(), ["doc_id"]), "jaccard-large")
         edges = _exact_prefixes(texts.join(large.select("doc_id", "family"), "doc_id"), percent)
         found = connected_components(edges).toDF("doc_id", "family")
         again = _members(found.union(found.select("family", "family")).distinct(), sets)
@@ -412,11 +439,11 @@ def _narrowed(docs: DataFrame, families: DataFrame, sets: DataFrame, percent: in
     return members
 
 
-def _links(docs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+def _links(texts: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     """Links a, b of spanning forests of the documents of each family."""
-    members = members.withColumn("part", F.pmod(F.xxhash64("doc_id"), "parts").cast("int"))
-    whole = _with_sets(docs, members, ["doc_id", "family", "parts", "part"])
-    sent = whole.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")).select(
+    parts = F.sequence(F.lit(0), F.col("parts") - 1)
+    dealt = members.withColumn("part", F.pmod(F.xxhash64("doc_id"), "parts").cast("int")).withColumn("other", F.explode(parts))
+    sent = texts.join(dealt, "doc_id").select(
         "family", F.least("part", "other").alias("first"), F.greatest("part", "other").alias("second"), "part", "doc_id", "set"
     )
 
@@ -435,7 +462,9 @@ def jaccard_join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     known = stored(some.distinct().join(some.groupBy("digest").agg(F.min("doc_id").alias("leader")), "digest").select("doc_id", "leader"), "jaccard-classes")
     families = connected_components(_shared_prefixes(docs, Sketch(sets), percent)).toDF("doc_id", "family")
     families = _leaders_of(families.union(families.select("family", "family")).distinct(), known)
-    links = _links(docs, _narrowed(docs, families, sets, percent), percent)
+    members = stored(_members(families, sets), "jaccard-families")
+    texts = stored(_with_sets(docs, members), "jaccard-texts")
+    links = _links(texts, _narrowed(members, sets, texts, percent), percent)
     copies = known.where("leader < doc_id").select(F.col("leader").alias("a"), F.col("doc_id").alias("b"))
     components = connected_components(links.union(copies)).toDF("doc_id", "component")
     found = rows.join(components, "doc_id", "left")

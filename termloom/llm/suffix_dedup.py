@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from termloom.llm.common import release_shuffles, stored
-from termloom.llm.jaccard import _LETTERS, _mixed, _Powers
+from termloom.llm.jaccard import _mixed
 
 LENGTH = 50
 ANCHOR = 16
@@ -56,6 +56,32 @@ SENT_KEYS = 1_000_000  # rows of some 20 bytes that may be sent to every task
 
 SPANS = "doc_id bigint, start int, end int, hash bigint"
 
+_random = np.random.default_rng(8)
+_LETTERS = _random.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BASE = 0x9E3779B97F4A7C15 | 1
+_INVERSE = pow(_BASE, -1, 2**64)
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    made = np.ones(max(n, 1), np.uint64)
+    if n > 1:
+        made[1:] = np.uint64(base)
+        made = np.multiply.accumulate(made)
+    return made
+
+
+class _Powers:
+    """Powers of the base and its inverse modulo 2^64, as far as they were needed."""
+
+    up = _powers(_BASE, 1 << 16)
+    down = _powers(_INVERSE, 1 << 16)
+
+    @classmethod
+    def upto(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if n > len(cls.up):
+            cls.up, cls.down = _powers(_BASE, 2 * n), _powers(_INVERSE, 2 * n)
+        return cls.up[:n], cls.down[:n]
+
 
 class Bytes:
     """The bytes of a text with hashes of all their substrings."""

@@ -1,5 +1,7 @@
 import random
 
+import pyarrow as pa
+
 from termloom.llm import jaccard
 from termloom.llm.queries import QUERIES
 from tests.llm import plain
@@ -61,7 +63,8 @@ def test_families_are_the_true_groups_however_the_sketch_errs(spark, monkeypatch
     families = jaccard.connected_components(edges).toDF("doc_id", "family")
     families = families.union(families.select("family", "family")).distinct()
     assert families.groupBy("family").count().agg({"count": "max"}).first()[0] > 100
-    narrowed = jaccard._narrowed(frame, jaccard._leaders_of(families, known), sets, jaccard.PERCENT)
+    members = jaccard._members(jaccard._leaders_of(families, known), sets).cache()
+    narrowed = jaccard._narrowed(members, sets, jaccard._with_sets(frame, members).cache(), jaccard.PERCENT)
     found = {}
     for r in narrowed.collect():
         found.setdefault(r.family, set()).add(r.doc_id)
@@ -133,3 +136,20 @@ def test_a_full_sketch_still_knows_what_stands_out():
     sketch._level()
     assert (sketch.estimate(hot) > sketch.long).all()
     assert (sketch.estimate(few[:100_000]) > sketch.long).mean() < 0.001
+
+
+def test_sets_are_those_of_words_as_defined():
+    import re
+
+    rng = random.Random(5)
+    parts = ["a", "B", "é", "É", "ab", " ", "  ", "\t", "\n", "\x0b", "\x0c", "\r", "\x1c", "\x1f", "\x85", "\xa0", "\u2003", "\x00"]
+    texts = ["", " ", "\t x"] + ["".join(rng.choices(parts, k=rng.randint(0, 40))) for _ in range(2_000)]
+    seen = {}
+    for text, made in zip(texts, jaccard.shingle_sets(pa.array(texts)), strict=True):
+        lower = re.sub("[A-Z]", lambda m: m[0].lower(), text)
+        words = re.findall("[^\x20\x09-\x0d]+", lower)
+        want = {tuple(words[i : i + 5]) for i in range(max(len(words) - 4, 1))} if words else set()
+        assert len(made) == len(want)
+        seen.setdefault(frozenset(want), set()).add(made.tobytes())
+    assert all(len(v) == 1 for v in seen.values()) and len(set.union(*seen.values())) == len(seen)
+    assert list(jaccard.shingle_sets(pa.array([], pa.string()))) == []
