@@ -22,19 +22,19 @@ def _digest(entry: Column) -> Column:
     return F.conv(F.substring(F.md5(entry), 1, 8), 16, 10).cast("bigint")
 
 
-def _blocks(entries: Column, block_rows: int) -> Column:
-    """How many blocks a list of so many entries has: a power of two.
+def _blocks(entries: Column, block_rows: int | None) -> Column:
+    """How many blocks a list of so many entries has: a power of two, and one without ``block_rows``.
 
     The join deals a long list into pieces by the same digest, and their number is a power of
     two as well, no greater than that of the blocks: so a block is always in one piece.
     """
-    return power_of_two(F.ceil(entries / block_rows))
+    return F.lit(1).cast("bigint") if block_rows is None else power_of_two(F.ceil(entries / block_rows))
 
 
 def postings(
     corpus: Corpus,
     mode: str = "whitespace",
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int | None = BLOCK_ROWS,
     split_rows: int = SPLIT_ROWS,
 ) -> DataFrame:
     """``word, df, block, blocks, postings``: the documents of each word.
@@ -43,7 +43,8 @@ def postings(
     order. The list of a word in more than ``block_rows`` documents is dealt
     over ``blocks`` rows of at most about that length, so that no word needs its whole
     list in one task; together they are the whole list. The blocks follow from ``df``
-    and ``block_rows`` alone, and ``split_rows`` only says how the work is spread.
+    and ``block_rows`` alone, and ``split_rows`` only says how the work is spread. With
+    ``block_rows`` None every list is whole in one row, which must have room in a task.
     """
     # The lists are made where the join has put the entries.
     pairs = join_split(
