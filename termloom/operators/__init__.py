@@ -3,7 +3,7 @@
 from termloom.operators.document_frequency import doc_freqs, vocabulary, with_doc_freqs
 from termloom.operators.indexes import expand_postings, forward_index, postings
 from termloom.operators.split_join import join_split
-from termloom.operators.terms import doc_sizes, num_docs, term_counts, tokens, word_counts
+from termloom.operators.terms import doc_sizes, num_docs, term_counts, tokens, word_counts, word_totals
 
 __all__ = [
     "doc_freqs",
@@ -18,4 +18,5 @@ __all__ = [
     "vocabulary",
     "with_doc_freqs",
     "word_counts",
+    "word_totals",
 ]

@@ -82,6 +82,21 @@ def word_counts(corpus: Corpus, mode: str = "whitespace") -> DataFrame:
     return counts.groupBy("document", "word").agg(F.sum("word_count").alias("word_count"))
 
 
+def word_totals(corpus: Corpus, mode: str = "whitespace") -> DataFrame:
+    """``word, total``: how often each word occurs in the corpus.
+
+    The words of a row are counted as they come, whichever document has them: no text is
+    sorted, and documents of many rows need no merging. No word of ``whitespace`` goes over
+    a line end, so there a row is split line by line, and only one line's words are listed
+    at a time.
+    """
+    if mode == "whitespace":
+        cut = corpus.texts.select("document", F.explode_outer(F.split("text", "\n")).alias("text"))
+        corpus = Corpus(cut)
+    found = _row_words(corpus, mode).select(F.explode_outer("words").alias("word")).where(F.col("word").isNotNull())
+    return found.groupBy("word").agg(F.count("*").alias("total"))
+
+
 def term_counts(
     corpus: Corpus, mode: str = "whitespace", split_rows: int = SPLIT_ROWS
 ) -> DataFrame:

@@ -1,10 +1,15 @@
 """What holds only while tables are small, on tables that are just large enough."""
 
+import glob
+
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entries
-from termloom.operators import indexes
+from termloom.functions.tokenize import MODES
+from termloom.operators import indexes, word_counts, word_totals
+from termloom.session import scratch, scratch_folder
 from tests.oracle import compare, connect
+from tests.samples import corpus
 
 SF = "/root/testdata/sf0.001"
 
@@ -21,3 +26,20 @@ def test_whole_lists_stay_whole_however_long(spark, tmp_path):
     con = _short_documents(spark, tmp_path, indexes.BLOCK_ROWS + 1)
     name = "postings_whole"
     assert compare(spark, con, entries.queries()[name], entries.oracle_sql()[name], str(tmp_path)) == ""
+
+
+def test_files_read_whole_do_not_grow_with_the_input(spark, monkeypatch):
+    monkeypatch.setattr(entries, "FILE_ROWS", 3)
+    for name in ("text_folder_written_twice", "text_files_word_totals"):
+        with scratch(spark):
+            entries.queries()[name](spark, SF)
+            assert len(glob.glob(f"{scratch_folder(spark)}/t*/part-*")) >= 200 / 3
+
+
+def test_totals_are_the_sums_of_the_counts(spark):
+    texts = {"a": "x y\n\n x\r\n", "b": "", "c": "\n", "d": " y\x0b x\ty\n", "e": "x\u2028z", "f": "\x01 \x01x"}
+    for one_row in (True, False):
+        c = corpus(spark, texts, one_row_per_document=one_row)
+        for mode in MODES:
+            sums = word_counts(c, mode).groupBy("word").agg(F.sum("word_count").alias("total"))
+            assert sorted(word_totals(c, mode).collect()) == sorted(sums.collect()), mode
