@@ -77,5 +77,5 @@ def join_split(
     # No hint: the sizes that adaptive execution measures decide. A partition's
     # share of the lookup is hashed where that is small, else both sides are sorted,
     # which spills. The settings of build_session keep estimates out of it.
-    joined = dealt.join(copied.drop("_pieces"), [key, "_piece"])
+    joined = dealt.drop("_pieces").join(copied, [key, "_piece"])
     return joined if keep_pieces else joined.drop("_piece", "_pieces")

@@ -24,6 +24,9 @@ SETTINGS = {
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
+# What lets measured sizes choose between hashing and sorting.
+MEASURED = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
+
 # Of each application, the folder of its scratch relations; and those that scratch() owns.
 _FOLDERS: dict[str, str] = {}
 _OWNED: ContextVar[list[str] | None] = ContextVar("owned", default=None)
@@ -37,6 +40,15 @@ def build_session(app_name: str = "termloom", **settings: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def measure_joins(spark: SparkSession) -> None:
+    """Let a session that says nothing about it hash what is small in every partition.
+
+    Spark's own default sorts both sides of each join, whatever their measured sizes.
+    """
+    if spark.conf.get(MEASURED, None) is None:
+        spark.conf.set(MEASURED, SETTINGS[MEASURED])
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
