@@ -32,6 +32,8 @@ import json
 import re
 from array import array
 from collections import Counter
+from itertools import chain
+from operator import itemgetter
 
 import numpy as np
 import public_tokenizers
@@ -142,10 +144,12 @@ class Aligner:
         data = text.encode()
         raw = np.frombuffer(data, np.uint8)
         encoded = self.a.encode(text, add_special_tokens=False)
-        a, until = np.array(encoded.ids), np.array(encoded.offsets)[:, 1]
+        a = np.array(encoded.ids)
+        until = np.fromiter(map(itemgetter(1), encoded.offsets), np.int64, len(a))
         coarse_a = np.append(np.flatnonzero(raw & 0xC0 != 0x80), len(raw))[until]
-        found = np.array([(p.id, p.end) for p in self.b.encode(text[1:], return_type="proto", num_threads=1).pieces])
-        b, coarse_b = found[:, 0], found[:, 1] + 1
+        found = self.b.encode(text[1:], return_type="proto", num_threads=1).pieces
+        b = np.array([p.id for p in found])
+        coarse_b = np.array([p.end for p in found]) + 1
         ends = []
         for ids, parts, sizes, coarse in ((a, self.bytes_a, self.sizes_a, coarse_a), (b, self.bytes_b, self.sizes_b, coarse_b)):
             if b"".join([parts[i] for i in ids.tolist()]) != data:
@@ -176,7 +180,7 @@ class Aligner:
         times = n_b[group_a]
         other = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times) + np.repeat(before_b[group_a], times)
         key, owner = np.repeat(a, times) * self.width + b[other], np.repeat(piece[group_a], times)
-        order = np.lexsort((key, owner))
+        order = self._order(owner, key)
         key, owner = key[order], owner[order]
         new = np.flatnonzero(np.append(True, (np.diff(owner) != 0) | (np.diff(key) != 0)))
         links = np.diff(np.append(new, len(key)))
@@ -187,10 +191,14 @@ class Aligner:
         self.keys.frombytes(key[new].astype(np.int64).tobytes())
         self.links.frombytes(links.astype(np.int64).tobytes())
         self.starts.extend((start + np.cumsum(n_pairs[1:])).tolist())
-        for p in pieces:
-            self._note(p)
+        self.known.update(zip(pieces, range(len(self.known), len(self.known) + len(pieces))))
+        self.chars += sum(map(len, pieces))
         return True
 
+    def _order(self, owner: np.ndarray, key: np.ndarray) -> np.ndarray:
+        """By owner, then key; owners are few enough for both to go into one number."""
+        return np.argsort(owner * (len(self.sizes_a) * self.width) + key)
+
     def _groups(self, piece: str, a, b) -> list[tuple[list[int], list[int]]]:
         data = piece.encode()
         places = range(len(data) + 1) if len(data) == len(piece) else np.cumsum([0, *(len(c.encode()) for c in piece)]).tolist()
@@ -243,10 +251,11 @@ class Aligner:
                 numbers[k] = shown = []
             digests.append(hashlib.sha256("".join(shown)[:-1].encode()).hexdigest() if shown else "")
         owner = np.repeat(np.arange(len(texts)), [len(n) for n in numbers])
-        piece = np.fromiter((i for n in numbers for i in n), np.int64, len(owner))
+        piece = np.fromiter(chain.from_iterable(numbers), np.int64, len(owner))
         counts = np.array(self.counts, np.int64).reshape(-1, 4)
-        totals = np.zeros((len(texts), 4), np.int64)
-        np.add.at(totals, owner, counts[piece])
+        ends = np.cumsum([len(n) for n in numbers])
+        running = np.vstack([np.zeros((1, 4), np.int64), np.cumsum(counts[piece], axis=0)])
+        totals = np.diff(running[np.append(0, ends).astype(np.int64)], axis=0)
         # Distinct pieces of a text, then distinct pairs.
         once, times = np.unique(owner * len(counts) + piece, return_counts=True) if len(piece) else (piece, piece)
         owner, piece = (once // len(counts), once % len(counts)) if len(once) else (once, once)
@@ -255,7 +264,7 @@ class Aligner:
         at = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(starts[piece], sizes)
         owner, key = np.repeat(owner, sizes), np.array(self.keys, np.int64)[at]
         links = np.array(self.links, np.int64)[at] * np.repeat(times, sizes)
-        order = np.lexsort((key, owner))
+        order = self._order(owner, key)
         owner, key, links = owner[order], key[order], links[order]
         first = np.flatnonzero(np.diff(owner, prepend=-1) | np.diff(key, prepend=-1)) if len(key) else key
         links = np.add.reduceat(links, first) if len(first) else links
