@@ -15,6 +15,7 @@ has been asked before is looked up in a table.
 
 from __future__ import annotations
 
+import gc
 import json
 
 ROOT = 0
@@ -170,3 +171,10 @@ def loaded(key: str, text: str, make) -> object:
         _LOADED.clear()
         _LOADED[key] = make(text)
     return _LOADED[key]
+
+
+def release(keep: str | None) -> None:
+    """Give back the memory of what other operators built in this process, which outlives their tasks."""
+    if _LOADED.keys() - {keep}:
+        _LOADED.clear()
+        gc.collect()

@@ -156,7 +156,7 @@ def encode(docs: DataFrame, columns: list[str], path: str | None = None, text: s
         values = np.frombuffer(b"".join(ids), dtype="<u4").astype(np.int32)
         return {"ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))}
 
-    return map_texts(docs, columns, {"ids": "array<int>"}, work, text)
+    return map_texts(docs, columns, {"ids": "array<int>"}, work, text, f"codec {key}")
 
 
 def decode(docs: DataFrame, columns: list[str], path: str | None = None, ids: str = "ids") -> DataFrame:
@@ -195,5 +195,5 @@ def round_trip(
     more = {"n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"}
     if keep_ids:
         more["ids"] = "array<int>"
-    return map_texts(docs, columns, more, work, text)
+    return map_texts(docs, columns, more, work, text, f"codec {key}")
 

@@ -6,9 +6,11 @@ import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from termloom.llm import automaton
 from termloom.session import scratch_path
 
 # Texts handed to Python at once: so many, and about so many characters.
@@ -46,15 +48,18 @@ def release_shuffles(spark: SparkSession) -> None:
 
 def slices(texts: list[str | None]) -> Iterator[slice]:
     """Cut a list of texts into runs of at most BATCH_CHARS characters, one text at least."""
+    return _runs([len(text or "") for text in texts])
+
+
+def _runs(sizes: list[int]) -> Iterator[slice]:
     start = chars = 0
-    for i, text in enumerate(texts):
-        size = len(text or "")
+    for i, size in enumerate(sizes):
         if i > start and (chars + size > BATCH_CHARS or i - start >= BATCH_ROWS):
             yield slice(start, i)
             start, chars = i, 0
         chars += size
-    if start < len(texts):
-        yield slice(start, len(texts))
+    if start < len(sizes):
+        yield slice(start, len(sizes))
 
 
 def schema_of(docs: DataFrame, columns: list[str], more: dict[str, str]) -> str:
@@ -76,20 +81,24 @@ def map_texts(
     more: dict[str, str],
     work: Callable[[list[str]], dict[str, list]],
     text: str = "text",
+    keeps: str | None = None,
 ) -> DataFrame:
     """Apply `work` to the texts; its columns follow `columns` of the same row.
 
     `more` has the types of those columns. A null text is an empty one. Other columns
-    of the input never reach Python.
+    of the input never reach Python. `keeps` is the key by which `work` has something
+    loaded (automaton.loaded); what other work has loaded in the process goes.
     """
     sent = docs.select(*(F.col(c) for c in columns), F.coalesce(F.col(text), F.lit("")).alias(unused(columns, "text")))
     names = list(more)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton.release(keeps)
         for batch in batches:
-            texts = batch.column(len(columns)).to_pylist()
-            for part in slices(texts):
-                made = work(texts[part])
+            texts = batch.column(len(columns))
+            # A batch may be large: only a run of its texts is made of Python's strings at a time.
+            for part in _runs(pc.utf8_length(texts).to_pylist()):
+                made = work(texts.slice(part.start, part.stop - part.start).to_pylist())
                 kept = [batch.column(i).slice(part.start, part.stop - part.start) for i in range(len(columns))]
                 arrays = kept + [made[n] if isinstance(made[n], pa.Array) else pa.array(made[n]) for n in names]
                 yield pa.RecordBatch.from_arrays(arrays, names=columns + names)

@@ -173,6 +173,6 @@ def token_counts(
         }
 
     more = {"n_bytes": "bigint", "n_tokens": "bigint", "over_limit": "boolean"}
-    return map_texts(docs, columns, more, work, text)
+    return map_texts(docs, columns, more, work, text, f"counter {key}")
 
 

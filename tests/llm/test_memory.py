@@ -1,0 +1,19 @@
+from pyspark.sql import functions as F
+
+from termloom.llm import automaton, bpe
+from termloom.llm.common import map_texts
+
+
+def test_what_another_operator_loaded_goes(spark):
+    docs = spark.range(400).select(F.col("id").alias("doc_id"), F.concat(F.lit("some words "), "id").alias("text")).repartition(4)
+    assert bpe.round_trip(docs, ["doc_id"]).where("n_tokens > 0").count() == 400
+    left = map_texts(docs, ["doc_id"], {"n": "bigint"}, lambda texts: {"n": [len(automaton._LOADED)] * len(texts)})
+    assert [r.n for r in left.select("n").distinct().collect()] == [0]
+
+
+def test_what_the_same_operator_loaded_stays():
+    made = automaton.loaded("mine", "text", lambda text: [text])
+    automaton.release("mine")
+    assert automaton.loaded("mine", "text", lambda text: [text]) is made
+    automaton.release(None)
+    assert not automaton._LOADED
