@@ -11,6 +11,14 @@ def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def run_starts(ordered: Column) -> Column:
+    """ARRAY<INT>: where each run of equal words begins, of words in order."""
+    begun = F.transform(
+        ordered, lambda w, i: F.when(w.eqNullSafe(F.get(ordered, i - 1)), F.lit(-1)).otherwise(i)
+    )
+    return F.array_remove(begun, -1)
+
+
 def word_runs(words: Column) -> Column:
     """ARRAY<STRUCT<word STRING, word_count BIGINT>>, one entry per distinct word.
 
@@ -20,13 +28,8 @@ def word_runs(words: Column) -> Column:
     """
 
     def runs(ordered: Column) -> Column:
-        starts = F.array_compact(
-            F.transform(
-                ordered, lambda w, i: F.when(~w.eqNullSafe(F.get(ordered, i - 1)), i)
-            )
-        )
         return _bind(
-            starts,
+            run_starts(ordered),
             lambda at: F.transform(
                 at,
                 lambda p, k: F.struct(

@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from termloom.corpus import Corpus
-from termloom.functions.counting import word_runs
+from termloom.functions.counting import run_starts
 from termloom.functions.tokenize import words
 from termloom.operators.split_join import SPLIT_ROWS, join_split
 
@@ -21,18 +21,25 @@ def _row_size() -> Column:
 def _row_counts(corpus: Corpus, mode: str) -> DataFrame:
     """``document, row_size, word, word_count``, counted inside each row: no shuffle.
 
-    explode_outer with a filter, because before a plain explode the optimizer
+    The words of a row are sorted; where each run of equal ones begins is a column of its own,
+    as an operator with a lambda in it has no generated code, and rows are made only after that.
+    posexplode_outer with a filter, because before a plain posexplode the optimizer
     repeats the tokenizing in a filter for empty arrays.
     """
+    ordered, starts, start, at = F.col("ordered"), F.col("starts"), F.col("start"), F.col("at")
+    end = F.coalesce(F.get(starts, at + 1), F.size(ordered))
     return (
         _row_words(corpus, mode)
+        .select("document", F.sort_array("words").alias("ordered"))
+        .select("document", "ordered", run_starts(ordered).alias("starts"))
+        .select("document", "ordered", "starts", F.posexplode_outer("starts").alias("at", "start"))
+        .where(F.col("start").isNotNull())
         .select(
             "document",
-            _row_size().alias("row_size"),
-            F.explode_outer(word_runs(F.col("words"))).alias("entry"),
+            F.size(ordered).cast("bigint").alias("row_size"),
+            F.get(ordered, start).alias("word"),
+            (end - start).cast("bigint").alias("word_count"),
         )
-        .select("document", "row_size", "entry.word", "entry.word_count")
-        .where(F.col("word").isNotNull())
     )
 
 

@@ -81,6 +81,14 @@ def test_counting_one_row_documents_needs_no_shuffle_by_key(spark, query):
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in plan
 
 
+def test_pairs_are_made_by_generated_code(spark):
+    """A lambda keeps an operator out of it: none is where there are rows for each word."""
+    for query in (operators.word_counts, operators.doc_freqs):
+        plan = final_plan(query(entries.documents(spark, SF)))
+        made = re.findall(r"(\*\(\d+\) )?Generate ([^\n]*)", plan)
+        assert made and all(generated and "lambda" not in text for generated, text in made)
+
+
 def test_vocabulary_reads_only_the_text(spark):
     plan = initial_plan(operators.doc_freqs(entries.documents(spark, SF)))
     assert "ReadSchema: struct<text:string>" in plan
