@@ -8,18 +8,23 @@ from pyspark.sql import functions as F
 from termloom.llm.common import stored
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+# Edges to a task. A round has several shuffles; a small graph needs no task for each of their partitions.
+TASK_EDGES = 50_000
+
+
+def _large_star(edges: DataFrame, tasks: int) -> DataFrame:
     """Lead the greater neighbours of every node to its least neighbour."""
-    both = edges.union(edges.select("v", "u")).toDF("u", "v")
+    both = edges.union(edges.select("v", "u")).toDF("u", "v").coalesce(tasks)
     least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    led = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return led.coalesce(tasks).distinct().coalesce(tasks)
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, tasks: int) -> DataFrame:
     """Lead every node and its lesser neighbours to the least of them."""
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
     others = edges.join(least, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return others.union(least.toDF("u", "v"))
+    return others.union(least.toDF("u", "v")).coalesce(tasks).distinct().coalesce(tasks)
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -29,7 +34,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     nodes by alternating steps, in a number of rounds that grows with the logarithm
     of the graph's size. Each node's least neighbour is aggregated before it is
     joined to the edges, so a node with very many edges is never one task's work. Every round is a
-    written table, so lost executors cost no more than that round.
+    written table, so lost executors cost no more than that round; its counted edges say how
+    many tasks the next has at most.
     """
     a, b = edges.columns
     pairs = edges.where(F.col(a) != F.col(b))
@@ -41,4 +47,5 @@ def connected_components(edges: DataFrame) -> DataFrame:
         if state == before or state[0] == 0:
             return now.toDF("node", "component")
         before = state
-        now = stored(_small_star(_large_star(now).distinct()).distinct(), "edges")
+        tasks = -(-state[0] // TASK_EDGES)
+        now = stored(_small_star(_large_star(now, tasks), tasks), "edges")

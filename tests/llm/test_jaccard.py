@@ -2,7 +2,7 @@ import random
 
 import pyarrow as pa
 
-from termloom.llm import jaccard
+from termloom.llm import components, jaccard
 from termloom.llm.queries import QUERIES
 from tests.llm import plain
 
@@ -92,6 +92,42 @@ def test_no_link_is_lost_when_large_families_are_dealt_out_again(spark, monkeypa
     assert 5 <= len({r[2] for r in want}) < len(docs) - 20
 
 
+def test_families_that_hardly_shrink_are_not_dealt_out_again(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "TILE_DOCUMENTS", 4)
+    rounds = []
+
+    def all_but_one(sets, percent):
+        ids = sorted(r.doc_id for r in sets.select("doc_id").distinct().collect())
+        rounds.append(len(ids))
+        return spark.createDataFrame([(ids[0], i) for i in ids[1:-1]], "a bigint, b bigint")
+
+    monkeypatch.setattr(jaccard, "_exact_prefixes", all_but_one)
+    sets = spark.range(40).selectExpr("id as doc_id", "1L as n")
+    members = jaccard._members(spark.range(40).selectExpr("id as doc_id", "0L as family"), sets)
+    texts = spark.range(40).selectExpr("id as doc_id", "array(id) as set")
+    assert jaccard._narrowed(members, sets, texts, jaccard.PERCENT).count() == 39
+    assert rounds == [40]
+
+
+def test_rounds_over_few_edges_take_few_tasks(spark, monkeypatch):
+    """Five trees of 100 nodes, each node led to the one of half its number."""
+    changed = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in changed}
+    edges = spark.range(500).selectExpr("id as a", "id - id % 100 + (id % 100) div 2 as b")
+    want = [(i, i - i % 100) for i in range(500) if i % 100]
+    try:
+        for name, value in changed.items():
+            spark.conf.set(name, value)
+        for most in (50_000, 100):
+            monkeypatch.setattr(components, "TASK_EDGES", most)
+            found = components.connected_components(edges)
+            assert len(found.inputFiles()) <= -(-len(want) // most)
+            assert sorted(map(tuple, found.collect())) == want
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def test_edges(spark):
     text = "Red green blue white black"
     docs = [
