@@ -148,11 +148,13 @@ def forward_index(
     if corpus.one_row_per_document:
         return _entry_blocks(corpus, mode, block_rows)
     counts = word_counts(corpus, mode)
-    # Testing the count keeps it in the aggregation, whose shuffle then serves both.
+    # Testing the count keeps it in the aggregation, whose shuffle then serves both; and testing the
+    # size keeps that where the join asks for the numbers of words only, so that these are counted once.
     totals = (
         counts.where(F.col("word_count") >= 1)
         .groupBy("document")
         .agg(F.sum("word_count").alias("doc_size"), F.count("*").alias("distinct"))
+        .where(F.col("doc_size") >= 1)
     )
     blocks = _blocks(F.col("distinct"), block_rows)
     # The lists are made where the join has put the entries.

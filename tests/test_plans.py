@@ -136,6 +136,15 @@ def test_pairs_of_merged_documents_are_shuffled_so_often(spark, query, shuffles)
     assert len(pairs) == shuffles, pairs
 
 
+def test_merged_documents_are_totalled_once(spark):
+    """What splits heavy documents takes the totals that they are joined with."""
+    rows = spark.read.parquet(f"{SF}/conversations.parquet")
+    corpus = Corpus(rows.select(F.col("conv_id").cast("string").alias("document"), "text"))
+    plan = initial_plan(operators.forward_index(corpus, split_rows=20))
+    totals = set(re.findall(r"keys=\[document#\d+\], functions=\[(partial_[a-z]+)", plan))
+    assert totals == {"partial_sum"}
+
+
 def test_union_groups_the_pairs_where_they_lie(spark):
     with settings(spark, spark__sql__adaptive__autoBroadcastJoinThreshold="-1"):
         plan = final_plan(plans.tfidf_union(entries.documents(spark, SF), split_rows=20))
