@@ -22,8 +22,9 @@ WHITESPACE_RUN = r"[ \t\n\x0B\f\r]+"
 LINE_END = r"\r\n|\n|\r"
 LAST_LINE_END = r"(\r\n|\n|\r)\z"
 # What is trimmed off words: U+0000 to U+0020, which in a word can only be these.
-CONTROLS = r"[\x00-\x08\x0E-\x1F]+"
-EDGE_CONTROLS = rf"{CONTROLS}(?![^ ])|(?<![^ ]){CONTROLS}"
+CONTROLS = "".join(map(chr, [*range(0x09), *range(0x0E, 0x20)]))
+# White space with the control characters at the edges of the words on its sides.
+EDGE_RUN = r"[\x00-\x08\x0E-\x1F]*[ \t\n\x0B\f\r]+[\x00-\x08\x0E-\x1F]*"
 
 MODES = ("whitespace", "java_ws", "single_space")
 
@@ -54,12 +55,12 @@ def words(text: Column, mode: str = "whitespace", text_is_line: bool = False) ->
             # Only the first line of a file may begin with the empty word: Corpus.texts_for
             # gives lines as texts without it.
             raise ValueError("mode java_ws needs whole texts, not lines of files")
-        # White space becomes single spaces, then control characters at a word's edge go: one
-        # of nothing else becomes the empty word between two spaces. No lambda for each word,
-        # so all of it is generated code.
-        spaced = F.regexp_replace(F.rtrim(text, F.lit(WHITESPACE)), WHITESPACE_RUN, " ")
-        trimmed = F.split(F.regexp_replace(spaced, EDGE_CONTROLS, ""), " ")
-        found = F.when((text != "") & (spaced == ""), _no_words()).otherwise(trimmed)
+        # What is trimmed off goes with the white space beside it, or with the ends of the text. A word
+        # of nothing else goes with the run before it, and leaves the empty word before the next run.
+        # No lambda for each word and no text written anew, so all of it is generated code.
+        kept = F.rtrim(text, F.lit(WHITESPACE))
+        trimmed = F.split(F.btrim(kept, F.lit(CONTROLS)), EDGE_RUN)
+        found = F.when((text != "") & (kept == ""), _no_words()).otherwise(trimmed)
     elif mode == "single_space":
         if text_is_line:
             found = _split_dropping_last_empties(text, " ", " ")

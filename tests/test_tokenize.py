@@ -108,3 +108,23 @@ def test_random_texts(spark, mode):
         assert r.w == expected, repr(texts[r.id])
         assert {e.word: e.word_count for e in r.runs} == Counter(expected)
         assert len(r.runs) == len(set(expected))
+
+
+def test_java_words_come_from_one_split(spark):
+    """No text is written anew for them, and they are those that splitting and trimming each one gives."""
+    import random
+    import re
+
+    from pyspark.sql import functions as F
+
+    from termloom.functions.tokenize import WHITESPACE, words
+
+    draw = random.Random(7)
+    texts = ["".join(draw.choices("ab \x01\x1f\x00\t\n\r", k=draw.randrange(14))) for _ in range(4_000)]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string")
+    found = frame.select("text", words(F.col("text"), "java_ws").alias("words"))
+    assert "regexp_replace" not in found._jdf.queryExecution().optimizedPlan().toString()
+    for text, got in found.collect():
+        kept = text.rstrip(WHITESPACE)
+        parts = [] if text and not kept else re.split(f"[{WHITESPACE}]+", kept)
+        assert got == [p.strip("".join(map(chr, range(33)))) for p in parts], repr(text)
