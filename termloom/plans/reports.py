@@ -31,9 +31,9 @@ def tfidf_report(
 
     The order is that of the whole key, which is not that of its parts:
     ``doc10@a`` comes before ``doc1@a``. Sorting is by ranges of the key over
-    all tasks.
+    all tasks: rows of a key are in one of them, where their values settle the order. Spark
+    goes over the weights once more to find the ranges, so values are made after that.
     """
-    return weighted.select(
-        render.key(F.col("document"), F.col("word")).alias("key"),
-        rendered(F.col("tfidf")).alias("value"),
-    ).orderBy("key", "value")
+    keyed = weighted.select(render.key(F.col("document"), F.col("word")).alias("key"), "tfidf")
+    dealt = keyed.repartitionByRange("key").select("key", rendered(F.col("tfidf")).alias("value"))
+    return dealt.sortWithinPartitions("key", "value")

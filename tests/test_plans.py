@@ -188,3 +188,10 @@ def test_nothing_runs_when_the_broadcast_form_is_built(spark):
 def test_reports_are_sorted_by_ranges(spark):
     plan = initial_plan(plans.tfidf_report(plans.tfidf(entries.documents(spark, SF))))
     assert "Exchange rangepartitioning(key" in plan
+
+
+def test_report_values_are_made_once(spark):
+    """Spark makes what is to be sorted twice, first to find the ranges: the weights, but not their texts."""
+    plan = initial_plan(plans.tfidf_report(plans.tfidf(entries.documents(spark, SF)), entries._ten_places))
+    above, below = plan.split("Exchange rangepartitioning(key", 1)
+    assert "lpad" in above and "lpad" not in below
