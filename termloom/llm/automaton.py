@@ -15,9 +15,12 @@ has been asked before is looked up in a table.
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import json
 
+import pyarrow as pa
+
 ROOT = 0
 # Answers kept in the table of arcs, and words kept in a cache of results.
 TABLE_SIZE = 500_000
@@ -178,3 +181,12 @@ def release(keep: str | None) -> None:
     if _LOADED.keys() - {keep}:
         _LOADED.clear()
         gc.collect()
+        give_back()
+
+
+def give_back() -> None:
+    """Return what is free in this process to the system: the allocators keep it for themselves."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library
+    if trim is not None:
+        trim(0)

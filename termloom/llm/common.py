@@ -16,6 +16,8 @@ from termloom.session import scratch_path
 # Texts handed to Python at once: so many, and about so many characters.
 BATCH_ROWS = 2_000
 BATCH_CHARS = 4_000_000
+# What bounds the rows that a JVM gathers before it sends them to Python, in bytes.
+SENT_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,6 +36,16 @@ def stored(relation: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(relation.schema).parquet(path)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Let a session that says nothing about it gather 4 MB of rows at a time for Python.
+
+    Spark's own default is 64 MB and 10,000 rows, for which each task takes up to three times as much
+    beside the heap while its buffers grow, and its Python worker once more.
+    """
+    if spark.conf.get(SENT_BYTES, None) is None:
+        spark.conf.set(SENT_BYTES, "4m")
+
+
 def release_shuffles(spark: SparkSession) -> None:
     """Have the files of shuffles that nothing can read any more deleted now.
 
@@ -89,6 +101,7 @@ def map_texts(
     of the input never reach Python. `keeps` is the key by which `work` has something
     loaded (automaton.loaded); what other work has loaded in the process goes.
     """
+    bound_batches(docs.sparkSession)
     sent = docs.select(*(F.col(c) for c in columns), F.coalesce(F.col(text), F.lit("")).alias(unused(columns, "text")))
     names = list(more)
 
@@ -102,5 +115,7 @@ def map_texts(
                 kept = [batch.column(i).slice(part.start, part.stop - part.start) for i in range(len(columns))]
                 arrays = kept + [made[n] if isinstance(made[n], pa.Array) else pa.array(made[n]) for n in names]
                 yield pa.RecordBatch.from_arrays(arrays, names=columns + names)
+        # A worker outlives its task and may stay idle beside others.
+        automaton.give_back()
 
     return sent.mapInArrow(run, schema_of(docs, columns, more))

@@ -17,3 +17,34 @@ def test_what_the_same_operator_loaded_stays():
     assert automaton.loaded("mine", "text", lambda text: [text]) is made
     automaton.release(None)
     assert not automaton._LOADED
+
+
+def test_rows_are_sent_to_python_in_small_batches(spark):
+    docs = spark.range(1_000, numPartitions=1).selectExpr("repeat('x', 20000) as wide", "'a word' as text")
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(setting, None)
+    try:
+        spark.conf.unset(setting)
+        most = map_texts(docs, ["wide"], {"n": "bigint"}, lambda texts: {"n": [len(texts)] * len(texts)}).agg({"n": "max"}).first()[0]
+        assert most <= 300  # rows of a batch, of 20 kB each
+        spark.conf.set(setting, "1m")
+        map_texts(docs, ["wide"], {"n": "bigint"}, lambda texts: {"n": [0] * len(texts)})
+        assert spark.conf.get(setting) in ("1m", "1048576")
+    finally:
+        spark.conf.unset(setting)
+        if before is not None:
+            spark.conf.set(setting, before)
+
+
+def anonymous_mb():
+    with open("/proc/self/smaps_rollup", encoding="ascii") as file:
+        return next(int(line.split()[1]) for line in file if line.startswith("Pss_Anon:")) / 1024
+
+
+def test_a_process_returns_what_it_has_freed():
+    held = [bytes(1_000) for _ in range(200_000)]
+    kept = held[::20_000]
+    full = anonymous_mb()
+    del held
+    automaton.give_back()
+    assert kept and anonymous_mb() < full - 150
