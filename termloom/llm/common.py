@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termloom.llm import automaton
-from termloom.session import scratch_path
+from termloom.session import scratch, scratch_path
 
 # Texts handed to Python at once: so many, and about so many characters.
 BATCH_ROWS = 2_000
@@ -58,6 +58,18 @@ def release_shuffles(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def settled(spark: SparkSession, made: Callable[[], DataFrame], name: str) -> DataFrame:
+    """What `made` returns, stored; all that it stored or shuffled to get there goes."""
+    path = scratch_path(spark, name)
+    with scratch(spark):
+        relation = made()
+        relation.write.parquet(path)
+        schema = relation.schema
+    del relation
+    release_shuffles(spark)
+    return spark.read.schema(schema).parquet(path)
+
+
 def slices(texts: list[str | None]) -> Iterator[slice]:
     """Cut a list of texts into runs of at most BATCH_CHARS characters, one text at least."""
     return _runs([len(text or "") for text in texts])

@@ -19,7 +19,8 @@
    the shingles of longer lists that both may share. This goes on while families shrink by a tenth,
    and costs in proportion to their texts, however the first order went wrong.
 4. Each family is searched with the whole sets of its documents, in tiles of bounded
-   size where it is large. A search is a T-occurrence search by DivideSkip: of the
+   size where it is large. Texts go to the families that fit a tile, and their sets are made
+   there; sets are stored for larger families only. A search is a T-occurrence search by DivideSkip: of the
    inverted lists of a query's shingles the short ones are merged, which gives
    documents that occur often enough to reach the needed overlap together with the
    long ones, and these are probed by binary search, until T is reached or out of
@@ -28,7 +29,9 @@
 A tile returns the links of a spanning forest, as many rows as it has documents.
 Shingles are compared by 64-bit hashes. A hot shingle's list is cut into parts by a
 digest of the document, and the parts' leaders are led together. Of documents with
-equal sets only the least is searched.
+equal sets only the least is dealt out and searched, and of all texts only those of
+families: a bit map of fixed size tells the others before they are sent. What is stored
+or shuffled on the way to the families, and to the links, goes as soon as these are known.
 
 A text with fewer words than a shingle has is one shingle; without words, or null, it
 has the empty set and is linked with nothing. Rows of one doc_id are one document in
@@ -44,10 +47,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from termloom.llm.common import map_texts, stored
+from termloom.llm.common import bound_batches, map_texts, release_shuffles, settled, stored
 from termloom.llm.components import connected_components
 from termloom.llm.embeddings import Forest
 from termloom.operators.split_join import join_split
@@ -56,6 +59,8 @@ WORDS = 5
 PERCENT = 75  # links: 100 * intersection >= PERCENT * union
 DEPTH, CELL_BITS = 3, 21  # of the sketch, which takes 25 MB whatever the data
 CHUNK = 1 << 15  # cells that are summed up together
+MARK_BITS = 26  # of the bit map of documents, which takes 8 MB whatever the data
+MARK_TASKS = 4  # that read ids, each for a map of its own
 HELD = 4_000_000  # shingles in which a task looks for repeats
 LONG = 1_000  # estimate from which a list is cut into parts, if cells differ by less
 NOISE = 6  # times that cells differ from the middle, which an estimate must exceed to be long
@@ -65,8 +70,10 @@ SHARE = 10  # of a set's size, one in so many shingles of the prefix must be sha
 ROUNDS = 4  # of dealing large families out again; any number gives the same links
 TILE_DOCUMENTS = 1_024
 TILE_SHINGLES = 500_000
+TASK_DOCUMENTS = 500  # whose families a task searches, where each fits a tile
 LONG_WEIGHT = 0.1  # the share of DivideSkip's formula that a probe's cost has
 SLICE_BYTES = 200_000  # of texts whose sets are made together
+SENT_BYTES = 1 << 15  # texts over this go to their family as a set where that is smaller
 DIGESTED = 24  # bytes; longer words are hashed by a cryptographic digest
 REMEMBERED = 500_000  # digests that a task remembers, to send equal sets once
 
@@ -242,6 +249,33 @@ class Sketch:
         return found
 
 
+class Marks:
+    """Documents of which some may be others: a bit for a hash of each id in `ids`."""
+
+    def __init__(self, ids: DataFrame):
+        size = (1 << MARK_BITS) // 8
+
+        def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            bits = np.zeros(size, np.uint8)
+            for batch in batches:
+                at = _marked_at(batch.column(0).to_numpy(zero_copy_only=False))
+                np.bitwise_or.at(bits, at >> 3, (1 << (at & 7)).astype(np.uint8))
+            yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(bits.tobytes(), 1)], pa.binary())], names=["bits"])
+
+        self.bits = np.zeros(size, np.uint8)
+        for r in ids.coalesce(MARK_TASKS).mapInArrow(mark, "bits binary").collect():  # of 2^MARK_BITS bits, packed
+            self.bits |= np.frombuffer(zlib.decompress(r.bits), np.uint8)
+
+    def among(self, batch: pa.RecordBatch) -> pa.RecordBatch:
+        """The rows whose first column may be one of the ids; few others, and all that are."""
+        at = _marked_at(batch.column(0).to_numpy(zero_copy_only=False))
+        return batch.filter(pa.array((self.bits[at >> 3] >> (at & 7) & 1).astype(bool)))
+
+
+def _marked_at(ids: np.ndarray) -> np.ndarray:
+    return (_mixed(ids.astype(np.int64).view(np.uint64)) >> np.uint64(64 - MARK_BITS)).astype(np.int64)
+
+
 def _prefix(made: np.ndarray, sketch: Sketch, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """The first shingles in the common order, and their estimates."""
     keep = len(made) + (-percent * len(made)) // 100 + 1 + len(made) // SHARE
@@ -250,13 +284,21 @@ def _prefix(made: np.ndarray, sketch: Sketch, percent: int) -> tuple[np.ndarray,
     return made[order], estimate[order]
 
 
-def _shared_prefixes(docs: DataFrame, sketch: Sketch, percent: int) -> DataFrame:
-    """Edges a, b between documents whose prefixes share enough."""
-    model = docs.sparkSession.sparkContext.broadcast(sketch)  # 25 MB, always
+def _texts(docs: DataFrame) -> DataFrame:
+    """doc_id, text of the rows that have a doc_id."""
+    return docs.where("doc_id is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+
+
+def _shared_prefixes(docs: DataFrame, sketch: Sketch, percent: int, leaders: Marks | None = None) -> DataFrame:
+    """Edges a, b between documents, of `leaders` where these are given, whose prefixes share enough."""
+    spark = docs.sparkSession
+    model = spark.sparkContext.broadcast((sketch, leaders))  # 33 MB, always
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch, seen = model.value, set()
+        (sketch, leaders), seen = model.value, set()
         for batch in batches:
+            if leaders is not None:
+                batch = leaders.among(batch)
             ids = iter(batch.column(0).to_numpy(zero_copy_only=False))
             for sets in _by_slice(batch.column(1)):
                 token, salt, owner, size = [], [], [], []
@@ -275,26 +317,32 @@ def _shared_prefixes(docs: DataFrame, sketch: Sketch, percent: int) -> DataFrame
                     arrays = [np.concatenate(token), np.concatenate(salt).astype(np.int32), np.concatenate(owner), np.concatenate(size)]
                     yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names=["token", "salt", "doc_id", "n"])
 
-    texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = texts.mapInArrow(run, "token bigint, salt int, doc_id bigint, n int")
+    rows = _texts(docs).mapInArrow(run, "token bigint, salt int, doc_id bigint, n int")
     of_list = Window.partitionBy("token", "salt")
     lists = rows.select("*", F.min("doc_id").over(of_list).alias("leader"), F.count("*").over(of_list).alias("length"))
     shared = stored(lists.where("length > 1 or salt > 0"), "jaccard-prefixes")
+    release_shuffles(spark)
     long = shared.where((F.col("salt") > 0) | (F.col("length") > SHORT))
     leaders = long.where("salt > 0").groupBy("token", "salt").agg(F.min("leader").alias("leader"))
     first = leaders.groupBy("token").agg(F.min("leader").alias("a"))
     across = leaders.join(first, "token").select("a", F.col("leader").alias("b"))
     within = long.select(F.col("leader").alias("a"), F.col("doc_id").alias("b"))
     short = shared.where((F.col("salt") == 0) & (F.col("length") <= SHORT)).withColumn("hot", F.lit(0))
-    return within.union(across).where("a < b").union(_counted_pairs(short, percent)).distinct()
+    members = short.repartition("leader").groupBy("leader", "token").agg(_in_order())
+    return within.union(across).where("a < b").union(_counted_pairs(members, percent)).distinct()
+
 
+def _in_order() -> Column:
+    return F.sort_array(F.collect_list(F.struct("doc_id", "n", "hot"))).alias("m")
 
-def _counted_pairs(short: DataFrame, percent: int) -> DataFrame:
-    """Pairs a, b of short lists (token, doc_id, n, hot) that share as many shingles as alike pairs must.
+
+def _counted_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs a, b of short lists `m` of doc_id, n, hot that share as many shingles as alike pairs must.
 
     Up to `hot` of the shingles of a document's prefix are in longer lists, and not counted here.
+    The lists are dealt by their first documents: those of the same documents lie together, so a
+    pair that shares many shingles is counted before it is sent.
     """
-    members = short.groupBy("token").agg(F.sort_array(F.collect_list(F.struct("doc_id", "n", "hot"))).alias("m"))
 
     def pairs(x, i):
         later = F.filter(
@@ -330,7 +378,9 @@ def _exact_prefixes(sets: DataFrame, percent: int) -> DataFrame:
     long = first.where(F.col("lead") & (F.col("length") > SHORT)).select("token", "doc_id")
     leaders = long.groupBy("token").agg(F.min("doc_id").alias("leader"), F.count("*").alias("held"))
     within = join_split(long, leaders, "token", "held", "doc_id").select(F.col("leader").alias("a"), F.col("doc_id").alias("b"))
-    return within.where("a < b").union(_counted_pairs(first.where(F.col("length") <= SHORT), percent)).distinct()
+    lists = first.where(F.col("length") <= SHORT).groupBy("token").agg(_in_order())
+    members = lists.repartition(F.col("m")[0]["doc_id"])
+    return within.where("a < b").union(_counted_pairs(members, percent)).distinct()
 
 
 class Index:
@@ -406,11 +456,20 @@ def _members(families: DataFrame, sets: DataFrame) -> DataFrame:
     return families.join(parts.where("size > 1"), "family").select("doc_id", "family", "parts")
 
 
-def _with_sets(docs: DataFrame, members: DataFrame) -> DataFrame:
-    """doc_id and `set` of each text, with one, of the members."""
-    ids = members.select("doc_id").distinct()
+def _texts_of(docs: DataFrame, members: DataFrame) -> DataFrame:
+    """The columns of `members` and `text`, a row for each text of theirs."""
+    bound_batches(docs.sparkSession)
+    model = docs.sparkSession.sparkContext.broadcast(Marks(members.select("doc_id")))  # 8 MB, always
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return (model.value.among(batch) for batch in batches)
+
     # Members grow with the texts, so both are sorted whatever their size.
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(ids.hint("merge"), "doc_id")
+    return _texts(docs).mapInArrow(run, "doc_id bigint, text string").join(members.hint("merge"), "doc_id")
+
+
+def _as_sets(texts: DataFrame) -> DataFrame:
+    """doc_id and `set` of each text, with one."""
 
     def work(texts: list[str]) -> dict:
         return {"set": [made.view(np.int64) for made in shingle_sets(pa.array(texts, pa.string()))]}
@@ -418,6 +477,11 @@ def _with_sets(docs: DataFrame, members: DataFrame) -> DataFrame:
     return map_texts(texts, ["doc_id"], {"set": "array<bigint>"}, work).where("size(set) > 0")
 
 
+def _with_sets(docs: DataFrame, members: DataFrame) -> DataFrame:
+    """doc_id and `set` of each text, with one, of the members."""
+    return _as_sets(_texts_of(docs, members.select("doc_id").distinct()))
+
+
 def _leaders_of(families: DataFrame, known: DataFrame) -> DataFrame:
     """Families of the least documents that have the sets of their members."""
     return families.join(known, "doc_id").select(F.col("leader").alias("doc_id"), "family").distinct()
@@ -457,6 +521,61 @@ def _links(texts: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     return sent.groupBy("family", "first", "second").applyInArrow(search, "a bigint, b bigint")
 
 
+def _sent(texts: DataFrame) -> DataFrame:
+    """family, doc_id and text of `texts`, or `set` in place of a longer text whose set is smaller.
+
+    A text that says the same again and again is much larger than its set, by which tiles are bounded.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(2)
+            size = pc.binary_length(texts).to_numpy(zero_copy_only=False)
+            made: list[bytes | None] = [None] * len(texts)
+            for i in np.flatnonzero(size > SENT_BYTES):
+                (one,) = _slice_sets(texts.slice(i, 1), WORDS)
+                if one.nbytes < size[i]:
+                    made[i] = one.tobytes()
+            kept = pc.if_else(pa.array([m is None for m in made], pa.bool_()), texts, pa.scalar(None, texts.type))
+            columns = [batch.column(0), batch.column(1), kept, pa.array(made, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["family", "doc_id", "text", "set"])
+
+    return texts.select("family", "doc_id", "text").mapInArrow(run, "family bigint, doc_id bigint, text string, set binary")
+
+
+def _links_of_texts(texts: DataFrame, percent: int) -> DataFrame:
+    """`_links` of families that fit a tile, from texts (family, doc_id, text)."""
+
+    def search(table: pa.Table) -> pa.Table:
+        texts = pc.fill_null(table["text"], "").combine_chunks()
+        given = table["set"].to_pylist()
+        sets = [made if of is None else np.frombuffer(of, np.uint64) for made, of in zip(shingle_sets(texts), given)]
+        some = np.flatnonzero([len(made) > 0 for made in sets])
+        ends = np.cumsum([0, *(len(sets[i]) for i in some)]).astype(np.int32)
+        flat = np.concatenate([sets[i] for i in some]).view(np.int64) if len(some) else np.zeros(0, np.int64)
+        columns = {
+            "doc_id": table["doc_id"].take(pa.array(some)),
+            "part": pa.array(np.zeros(len(some), np.int32)),
+            "set": pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
+        }
+        return _search(pa.table(columns), True, 0, percent)
+
+    # Searching costs much more than reading, so sizes do not say how many tasks it needs.
+    tasks = max(1, -(-texts.count() // TASK_DOCUMENTS))
+    return _sent(texts).repartition(tasks, "family").groupBy("family").applyInArrow(search, "a bigint, b bigint")
+
+
+def _all_links(docs: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links a, b of spanning forests of the documents of each family of `_members`."""
+    texts = stored(_texts_of(docs, members), "jaccard-texts")
+    found = _links_of_texts(texts.where("parts = 1"), percent)
+    large = members.where("parts > 1")
+    if large.isEmpty():
+        return found
+    made = stored(_as_sets(texts.where("parts > 1")), "jaccard-large")
+    return found.union(_links(made, _narrowed(large, sets, made, percent), percent))
+
+
 def jaccard_join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of `docs` (doc_id, text)."""
     sets = stored(_sets(docs), "jaccard-sets")
@@ -464,11 +583,14 @@ def jaccard_join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     # Documents of one digest, and of one doc_id, are one.
     some = rows.where("n > 0 and doc_id is not null").select("doc_id", "digest")
     known = stored(some.distinct().join(some.groupBy("digest").agg(F.min("doc_id").alias("leader")), "digest").select("doc_id", "leader"), "jaccard-classes")
-    families = connected_components(_shared_prefixes(docs, Sketch(sets), percent)).toDF("doc_id", "family")
-    families = _leaders_of(families.union(families.select("family", "family")).distinct(), known)
-    members = stored(_members(families, sets), "jaccard-families")
-    texts = stored(_with_sets(docs, members), "jaccard-texts")
-    links = _links(texts, _narrowed(members, sets, texts, percent), percent)
+
+    def families() -> DataFrame:
+        leaders = Marks(known.where("doc_id = leader").select("doc_id"))
+        found = connected_components(_shared_prefixes(docs, Sketch(sets), percent, leaders)).toDF("doc_id", "family")
+        return _members(_leaders_of(found.union(found.select("family", "family")).distinct(), known), sets)
+
+    members = settled(docs.sparkSession, families, "jaccard-families")
+    links = settled(docs.sparkSession, lambda: _all_links(docs, members, sets, percent), "jaccard-links")
     copies = known.where("leader < doc_id").select(F.col("leader").alias("a"), F.col("doc_id").alias("b"))
     components = connected_components(links.union(copies)).toDF("doc_id", "component")
     found = rows.join(components, "doc_id", "left")

@@ -1,9 +1,11 @@
+import os
 import random
 
 import pyarrow as pa
 
-from termloom.llm import components, jaccard
+from termloom.llm import common, components, jaccard
 from termloom.llm.queries import QUERIES
+from termloom.session import scratch_folder
 from tests.llm import plain
 
 SCHEMA = "doc_id bigint, text string, n bigint, digest string"
@@ -189,3 +191,52 @@ def test_sets_are_those_of_words_as_defined():
         seen.setdefault(frozenset(want), set()).add(made.tobytes())
     assert all(len(v) == 1 for v in seen.values()) and len(set.union(*seen.values())) == len(seen)
     assert list(jaccard.shingle_sets(pa.array([], pa.string()))) == []
+
+
+def test_copies_are_not_dealt_out(spark, monkeypatch):
+    """Texts that have nothing in common, each in every partition."""
+    rows = {}
+
+    def counted(relation, name):
+        made = common.stored(relation, name)
+        rows[name] = made.count()
+        return made
+
+    monkeypatch.setattr(jaccard, "stored", counted)
+    docs = [(100 * copy + i, " ".join(f"w{i}x{k}" for k in range(40))) for copy in range(6) for i in range(30)]
+    frame = spark.createDataFrame(spark.sparkContext.parallelize(docs, 6), "doc_id bigint, text string")
+    assert sorted(map(tuple, jaccard.jaccard_join(frame).collect())) == [(i, 36, i % 100) for i, _ in docs]
+    assert rows["jaccard-prefixes"] == 0
+
+
+def test_what_was_stored_on_the_way_is_gone(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "TILE_DOCUMENTS", 4)
+    docs = [*with_passage(3, 6, 90), *((9_000 + i, f"alone{i} " * 9) for i in range(5))]
+    before = set(os.listdir(scratch_folder(spark)))
+    assert joined(spark, docs) == sorted(plain.jaccard(docs), key=str)
+    names = {name.rsplit("-", 1)[0] for name in set(os.listdir(scratch_folder(spark))) - before}
+    assert names <= {"jaccard-sets", "jaccard-classes", "jaccard-families", "jaccard-links", "edges"}
+
+
+def test_long_texts_that_repeat_themselves(spark, monkeypatch):
+    """Families of whose texts some go as sets: they find the same links."""
+    rng = random.Random(11)
+    docs = []
+    for group in range(4):
+        words = [f"g{group}w{i}" for i in range(40)]
+        for i in range(6):
+            text = " ".join([*words, f"end{rng.randrange(3)}"])
+            docs.append((100 * group + i, " ".join([text] * rng.choice((1, 1, 30)))))
+    docs += [(1_000, docs[0][1] * 9), (1_000, "another text of the same document"), (1_001, None)]
+    monkeypatch.setattr(jaccard, "SENT_BYTES", 600)
+    sent = jaccard._sent(spark.createDataFrame(docs, "doc_id bigint, text string").selectExpr("0L as family", "doc_id", "coalesce(text, '') as text"))
+    assert {r["set"] is None for r in sent.collect()} == {True, False}
+    assert joined(spark, docs) == sorted(plain.jaccard(docs), key=str)
+
+
+def test_an_id_that_is_marked_is_found(spark):
+    marks = jaccard.Marks(spark.range(-500, 10_000, 3, 5).toDF("doc_id"))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(-500, 10_000), pa.int64())], names=["doc_id"])
+    found = set(marks.among(batch).column(0).to_pylist())
+    assert found >= set(range(-500, 10_000, 3)) and len(found) < 4_000
+    assert marks.among(batch.slice(0, 0)).num_rows == 0
