@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -11,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termloom.llm import automaton
-from termloom.session import scratch, scratch_path
+from termloom.session import release_shuffles, scratch, scratch_path
 
 # Texts handed to Python at once: so many, and about so many characters.
 BATCH_ROWS = 2_000
@@ -46,18 +45,6 @@ def bound_batches(spark: SparkSession) -> None:
         spark.conf.set(SENT_BYTES, "4m")
 
 
-def release_shuffles(spark: SparkSession) -> None:
-    """Have the files of shuffles that nothing can read any more deleted now.
-
-    Spark deletes them when the driver's garbage is collected, which it may not be
-    for as long as a whole pipeline runs. The listeners hold the plan of the last query
-    until the next one, so a small one is run first.
-    """
-    spark.range(1).collect()
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def settled(spark: SparkSession, made: Callable[[], DataFrame], name: str) -> DataFrame:
     """What `made` returns, stored; all that it stored or shuffled to get there goes."""
     path = scratch_path(spark, name)
